@@ -45,12 +45,9 @@ def minute_of_day(hhmm: str | Column) -> Column:
     Short values are left-padded ("930" -> 09:30, "5" -> 00:05); "2400"
     gives 1440, which counts as afternoon.
     """
-    t = F.trim(_c(hhmm))
-    t4 = F.when(F.length(t) <= 4, F.lpad(t, 4, "0"))
-    return F.when(
-        t4.rlike("^[0-9]{4}$"),
-        F.substring(t4, 1, 2).cast("int") * 60 + F.substring(t4, 3, 2).cast("int"),
-    )
+    t = _c(hhmm)
+    n = t.try_cast("int")
+    return F.when(t.rlike("^\\s*[0-9]{1,4}\\s*$"), F.floor(n / 100).cast("int") * 60 + n % 100)
 
 
 def day_period(minute: str | Column) -> Column:

@@ -29,10 +29,9 @@ WEEKDAY_SQL = ("CASE day_of_week WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday' "
                "WHEN 3 THEN 'Wednesday' WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday' "
                "WHEN 6 THEN 'Saturday' WHEN 7 THEN 'Sunday' END")
 
-MINUTE_SQL = ("CASE WHEN length(trim(crs_dep_time)) <= 4 "
-              "AND regexp_full_match(lpad(trim(crs_dep_time), 4, '0'), '[0-9]{4}') "
-              "THEN CAST(substr(lpad(trim(crs_dep_time), 4, '0'), 1, 2) AS INTEGER) * 60 "
-              "+ CAST(substr(lpad(trim(crs_dep_time), 4, '0'), 3, 2) AS INTEGER) END")
+MINUTE_SQL = ("CASE WHEN regexp_full_match(crs_dep_time, '\\s*[0-9]{1,4}\\s*') "
+              "THEN (CAST(trim(crs_dep_time) AS INTEGER) // 100) * 60 "
+              "+ CAST(trim(crs_dep_time) AS INTEGER) % 100 END")
 
 Q11 = _with(f"""
 endpoints AS (

@@ -14,14 +14,14 @@ from tarmac.plans import oracle
 from tarmac.plans.questions import answer, ranking
 from tarmac.operators.trips import best_legs
 from tarmac.session import apply_runtime_conf
-from tarmac.sources.testdata import flights_from_tables
+from tarmac.sources.curated import curated_flights
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_runtime_conf(spark)
-    return flights_from_tables(spark, sf_dir)
+    return curated_flights(spark, sf_dir)
 
 
 def _answer(name: str) -> Query:
