@@ -27,14 +27,19 @@ def mean_by(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
                    F.count(F.lit(1)).alias("n_flights")))
 
 
+def partial_means(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
+    """Mergeable partial state per key: exact sum and count of ``measure``."""
+    return (df.groupBy(*keys)
+              .agg(F.sum(measure).alias("sum_delay"), F.count(F.lit(1)).alias("n_flights")))
+
+
 def merge_means(partials: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge partial (delay, n_flights) tables into one mean per key.
+    """Merge partial (sum_delay, n_flights) tables into one mean per key.
 
     ``partials`` may hold several rows per key (e.g. one per monthly load);
-    the result equals the mean over all underlying flights.  The weighted
-    sum is carried as a double; with whole-minute delays it is exact.
+    the result equals the mean over all underlying flights, since the
+    state carried is the sum, not the rounded mean.
     """
     return (partials.groupBy(*keys)
-            .agg(F.sum(F.col("delay") * F.col("n_flights")).alias("_w"),
-                 F.sum("n_flights").alias("n_flights"))
-            .select(*keys, (F.col("_w") / F.col("n_flights")).alias("delay"), "n_flights"))
+            .agg(F.sum("sum_delay").alias("_s"), F.sum("n_flights").alias("n_flights"))
+            .select(*keys, (F.col("_s") / F.col("n_flights")).alias("delay"), "n_flights"))

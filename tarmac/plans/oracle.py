@@ -77,13 +77,14 @@ def ranked_sql(sql: str, cols: list[str], order: str, partition: list[str] | Non
             f"AS INTEGER) AS rank FROM result) t{keep}")
 
 
-BEST_LEGS_CTES = f"""
+def best_legs_ctes(where: str = "") -> str:
+    return f"""
 timed AS (
   SELECT flight_date, origin, dest, arr_delay, crs_dep_time, unique_carrier, flight_num,
          {MINUTE_SQL} AS minute_of_day
   FROM flights
   WHERE flight_date IS NOT NULL AND arr_delay IS NOT NULL
-    AND {text_present('origin', 'dest', 'crs_dep_time', 'unique_carrier', 'flight_num')}
+    AND {text_present('origin', 'dest', 'crs_dep_time', 'unique_carrier', 'flight_num')}{where}
 ),
 periods AS (
   SELECT *, CASE WHEN minute_of_day < 720 THEN 'AM' ELSE 'PM' END AS period
@@ -98,8 +99,8 @@ legs AS (
 )"""
 
 
-def trips_sql(offset_days: int = 2, legs_filter: str = "") -> str:
-    return _with(BEST_LEGS_CTES) + f"""SELECT
+def trips_sql(offset_days: int = 2, where: str = "") -> str:
+    return _with(best_legs_ctes(where)) + f"""SELECT
   a.flight_date AS date1, a.origin AS origin, a.dest AS dest1, b.dest AS dest2,
   a.arr_delay + b.arr_delay AS total_delay,
   CAST(a.flight_date AS VARCHAR) || ' ' || a.crs_dep_time AS datetime1,
@@ -108,8 +109,33 @@ def trips_sql(offset_days: int = 2, legs_filter: str = "") -> str:
   b.unique_carrier || ' ' || b.flight_num AS flight2
 FROM legs a JOIN legs b
   ON a.period = 'AM' AND b.period = 'PM' AND a.dest = b.origin
- AND b.flight_date = a.flight_date + {int(offset_days)}{legs_filter}"""
+ AND b.flight_date = a.flight_date + {int(offset_days)}"""
 
 
-BEST_LEGS = _with(BEST_LEGS_CTES) + "SELECT * FROM legs"
+BEST_LEGS = _with(best_legs_ctes()) + "SELECT * FROM legs"
 Q3 = trips_sql(2)
+
+FLIGHT_COLS = ("flight_date, day_of_week, unique_carrier, flight_num, origin, dest, "
+               "crs_dep_time, dep_delay, arr_delay")
+
+
+def where(sql: str, cond: str) -> str:
+    return f"SELECT * FROM ({sql}) q WHERE {cond}"
+
+
+CURATE_REQUIRED = (_with() + "SELECT origin, dest, unique_carrier, arr_delay FROM flights WHERE "
+                   + text_present("origin", "dest", "unique_carrier") + " AND arr_delay IS NOT NULL")
+COMPLETE_ROWS = (_with() + f"SELECT {FLIGHT_COLS} FROM flights WHERE flight_date IS NOT NULL "
+                 "AND day_of_week IS NOT NULL AND dep_delay IS NOT NULL AND arr_delay IS NOT NULL AND "
+                 + text_present("unique_carrier", "flight_num", "origin", "dest", "crs_dep_time"))
+TIME_OF_DAY = (_with(f"""
+timed AS (SELECT flight_date, flight_num, crs_dep_time, {MINUTE_SQL} AS minute_of_day
+          FROM flights WHERE {text_present('crs_dep_time')})""")
+               + "SELECT flight_date, flight_num, crs_dep_time, minute_of_day, "
+                 "CASE WHEN minute_of_day < 720 THEN 'AM' ELSE 'PM' END AS period "
+                 "FROM timed WHERE minute_of_day IS NOT NULL")
+ROUTE_KEY = (_with() + "SELECT origin || '_' || dest AS route, origin, dest, avg(arr_delay) AS delay, "
+             "CAST(count(*) AS BIGINT) AS n_flights FROM flights WHERE "
+             + text_present("origin", "dest") + " AND arr_delay IS NOT NULL GROUP BY origin, dest")
+YEAR_EXTRACT = (_with() + f"SELECT {FLIGHT_COLS} FROM flights WHERE year(flight_date) = 1998")
+YEAR_TRIPS = trips_sql(2, " AND year(flight_date) = 1998")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.plans import oracle
+from tarmac.plans import oracle, source_queries
 from tarmac.plans.questions import answer, ranking
 from tarmac.operators.trips import best_legs
 from tarmac.session import apply_runtime_conf
@@ -54,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "best_leg_per_day_period": lambda spark, sf_dir: best_legs(flights(spark, sf_dir)),
     "trip_offset_days_1": _trips(1),
     "trip_offset_days_3": _trips(3),
+    **source_queries.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
@@ -80,4 +81,19 @@ ORACLE: dict[str, str] = {
     "best_leg_per_day_period": oracle.BEST_LEGS,
     "trip_offset_days_1": oracle.trips_sql(1),
     "trip_offset_days_3": oracle.trips_sql(3),
+    "curate_required": oracle.CURATE_REQUIRED,
+    "complete_rows": oracle.COMPLETE_ROWS,
+    "time_of_day_split": oracle.TIME_OF_DAY,
+    "route_key": oracle.ROUTE_KEY,
+    "mean_merge": oracle.Q12,
+    "scan_year_prune": oracle.YEAR_TRIPS,
+    "extract_year_sorted": oracle.YEAR_EXTRACT,
+    "partitioned_legs": oracle.BEST_LEGS,
+    "lookup_route": oracle.where(oracle.Q24, "origin = 'NATION_1' AND dest = 'NATION_2'"),
+    "lookup_trip": oracle.where(oracle.Q3, "date1 = DATE '1998-01-01' AND origin = 'NATION_11' "
+                                "AND dest1 = 'NATION_22' AND dest2 = 'NATION_12'"),
+    "lookup_many": oracle.where(
+        oracle.ranked_sql(oracle.Q21, ["origin", "unique_carrier", "delay", "n_flights"],
+                          "delay, unique_carrier", ["origin"], 10),
+        "origin IN ('NATION_0', 'NATION_5', 'NATION_10', 'NATION_15', 'NATION_20')"),
 }

@@ -42,3 +42,16 @@ def write_result(result: DataFrame, path: str, keys: list[str], sort_by: str | N
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
+
+
+def write_partitioned(df: DataFrame, path: str, by: list[str]) -> str:
+    """One directory per value of ``by`` (the key leaves the rows).
+
+    Rows are first hash-partitioned on ``by`` so each directory is written
+    by one task: one file per directory instead of one per task and
+    directory.  With a single hot value that task is large but bounded by
+    the rows of that value; use ``write_flights``-style local sorting
+    instead when the values are few and heavy.
+    """
+    (df.repartition(*by).write.mode("overwrite").partitionBy(*by).parquet(path))
+    return path

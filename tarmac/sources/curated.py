@@ -42,11 +42,16 @@ def _signature(sf_dir: str) -> tuple:
     return tuple(sig)
 
 
-def curated_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated flights for the test tables under ``sf_dir`` (built once per session)."""
+def curated_flights_path(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the curated table for the test tables under ``sf_dir`` (built once per session)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _signature(sf_dir))
     path = _CURATED.get(key)
     if path is None:
         path = write_flights(flights_from_tables(spark, sf_dir), scratch_dir(spark, "flights"))
         _CURATED[key] = path
-    return read_flights(spark, path).drop("year")
+    return path
+
+
+def curated_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated flights for the test tables under ``sf_dir``."""
+    return read_flights(spark, curated_flights_path(spark, sf_dir)).drop("year")
