@@ -139,3 +139,22 @@ ROUTE_KEY = (_with() + "SELECT origin || '_' || dest AS route, origin, dest, avg
              + text_present("origin", "dest") + " AND arr_delay IS NOT NULL GROUP BY origin, dest")
 YEAR_EXTRACT = (_with() + f"SELECT {FLIGHT_COLS} FROM flights WHERE year(flight_date) = 1998")
 YEAR_TRIPS = trips_sql(2, " AND year(flight_date) = 1998")
+
+
+def long_sql() -> str:
+    """The seven result tables as one long table (question, key1..3, delay, n_flights)."""
+    parts = [
+        ("q1.1", Q11, ["airport"], "CAST(NULL AS DOUBLE)", "cnt"),
+        ("q1.2", Q12, ["unique_carrier"], "delay", "n_flights"),
+        ("q1.3", Q13, ["weekday"], "delay", "n_flights"),
+        ("q2.1", Q21, ["origin", "unique_carrier"], "delay", "n_flights"),
+        ("q2.2", Q22, ["origin", "dest"], "delay", "n_flights"),
+        ("q2.3", Q23, ["origin", "dest", "unique_carrier"], "delay", "n_flights"),
+        ("q2.4", Q24, ["origin", "dest"], "delay", "n_flights"),
+    ]
+    selects = []
+    for name, sql, keys, delay, n in parts:
+        ks = [f"CAST({k} AS VARCHAR)" for k in keys] + ["CAST(NULL AS VARCHAR)"] * (3 - len(keys))
+        selects.append(f"SELECT '{name}' AS question, {ks[0]} AS key1, {ks[1]} AS key2, "
+                       f"{ks[2]} AS key3, {delay} AS delay, {n} AS n_flights FROM ({sql}) t")
+    return "\nUNION ALL\n".join(selects)

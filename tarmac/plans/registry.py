@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.plans import oracle, source_queries
+from tarmac.plans import oracle, source_queries, stream_queries
 from tarmac.plans.questions import answer, ranking
 from tarmac.operators.trips import best_legs
 from tarmac.session import apply_runtime_conf
@@ -55,8 +55,12 @@ QUERIES: dict[str, Query] = {
     "trip_offset_days_1": _trips(1),
     "trip_offset_days_3": _trips(3),
     **source_queries.QUERIES,
+    **stream_queries.QUERIES,
 }
 
+# Registered queries no SQL states (reported as rows-only checks).
+NO_ORACLE = set(stream_queries.NO_ORACLE)
+
 ORACLE: dict[str, str] = {
     "q1_1_airport_popularity": oracle.Q11,
     "q1_2_carrier_arrival": oracle.Q12,
@@ -96,4 +100,15 @@ ORACLE: dict[str, str] = {
         oracle.ranked_sql(oracle.Q21, ["origin", "unique_carrier", "delay", "n_flights"],
                           "delay, unique_carrier", ["origin"], 10),
         "origin IN ('NATION_0', 'NATION_5', 'NATION_10', 'NATION_15', 'NATION_20')"),
+    "stream_q1_1_update": oracle.Q11,
+    "stream_q1_2_update": oracle.Q12,
+    "stream_q1_2_complete": oracle.Q12,
+    "stream_q1_3_update": oracle.Q13,
+    "stream_q2_1_update": oracle.Q21,
+    "stream_q2_2_complete": oracle.Q22,
+    "stream_q2_3_update": oracle.Q23,
+    "sink_upsert_latest": oracle.Q24,
+    "stream_all_questions": oracle.long_sql(),
+    "stream_best_leg": oracle.BEST_LEGS,
+    "stream_q3_two_leg_trips": oracle.Q3,
 }
