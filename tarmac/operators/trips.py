@@ -1,7 +1,8 @@
 """Two-leg trips: X -> Y in the morning of day d, Y -> Z in the afternoon
 of day d + 2, least total arrival delay for every (d, X, Y, Z).
 
-Plan (two shuffles, no cartesian product):
+Plan (per side: one aggregation shuffle, one join shuffle; no cartesian
+product):
 
 1. ``best_legs`` — one row per (date, period, origin, dest): the flight of
    least arrival delay, as ``min(struct(...))``.  Partial aggregation runs
@@ -9,14 +10,17 @@ Plan (two shuffles, no cartesian product):
    task and each key leaves at most one row per task.
 2. ``two_leg_trips`` — every leg gets its stop-over key: the airport and
    date where the traveller changes planes (morning leg: its destination
-   and date + offset; afternoon leg: its origin and date).  The legs are
-   hash-partitioned once on that key and the morning and afternoon halves
-   of the same exchange are joined on it, so the join needs no further
-   shuffle (Spark reuses the exchange).  After step 1 a stop-over key has
-   at most one morning leg per origin airport and one afternoon leg per
-   destination airport, so the join input per key is bounded by the
-   number of airports whatever the raw skew was; its output is exactly the
-   result rows.
+   and date + offset; afternoon leg: its origin and date), and the two
+   periods are equi-joined on it.  Catalyst pushes each side's period
+   filter below the aggregation, so the morning side aggregates only
+   morning flights and the afternoon side only afternoon ones (two
+   column-pruned scans, each shuffling its own half).  After step 1 a
+   stop-over key has at most one morning leg per origin airport and one
+   afternoon leg per destination airport, so the join input per key is
+   bounded by the number of airports whatever the raw skew was; its
+   output is exactly the result rows.  AQE turns the join into a
+   broadcast join when a side is measured small, and splits skewed join
+   partitions otherwise.
 """
 
 from __future__ import annotations
@@ -60,7 +64,7 @@ def stopover_keyed(legs: DataFrame, offset_days: int = 2, first: str = MORNING,
 
 
 def two_leg_trips(legs: DataFrame, offset_days: int = 2, first: str = MORNING,
-                  second: str = AFTERNOON, num_partitions: int | None = None) -> DataFrame:
+                  second: str = AFTERNOON) -> DataFrame:
     """Join best first legs of day d with best second legs of day d + offset.
 
     Output (result table q3): date1, origin, dest1, dest2, total_delay,
@@ -69,9 +73,6 @@ def two_leg_trips(legs: DataFrame, offset_days: int = 2, first: str = MORNING,
     if first == second:
         raise ValueError("first and second period must differ")
     keyed = stopover_keyed(legs, offset_days, first, second)
-    keys = ["stop_airport", "stop_date"]
-    keyed = (keyed.repartition(num_partitions, *keys) if num_partitions
-             else keyed.repartition(*keys))
     a = keyed.filter(F.col("period") == F.lit(first)).alias("a")
     b = keyed.filter(F.col("period") == F.lit(second)).alias("b")
     joined = a.join(b, (F.col("a.stop_airport") == F.col("b.stop_airport"))
