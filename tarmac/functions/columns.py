@@ -68,3 +68,18 @@ def route_key(origin: str | Column, dest: str | Column) -> Column:
 def leg_label(left: str | Column, right: str | Column) -> Column:
     """``left + ' ' + right`` (date and time, or carrier and flight number)."""
     return F.concat_ws(" ", _c(left), _c(right))
+
+
+def to_decimal3(col: str | Column) -> Column:
+    """Export form of a delay: decimal(18,3); results stay double until exported."""
+    return _c(col).cast("decimal(18,3)")
+
+
+def round3(col: str | Column) -> Column:
+    """Presentation rounding to 3 decimals (list pages and lookup printouts)."""
+    return F.round(_c(col), 3)
+
+
+def format_delay(col: str | Column, digits: int = 3) -> Column:
+    """Delay as text with a fixed number of decimals ('%.3f'; the trip page uses 2)."""
+    return F.format_string(f"%.{int(digits)}f", _c(col))

@@ -158,3 +158,14 @@ def long_sql() -> str:
         selects.append(f"SELECT '{name}' AS question, {ks[0]} AS key1, {ks[1]} AS key2, "
                        f"{ks[2]} AS key3, {delay} AS delay, {n} AS n_flights FROM ({sql}) t")
     return "\nUNION ALL\n".join(selects)
+
+
+def _missing(c: str, text: bool) -> str:
+    cond = f"{c} IS NULL OR trim({c}) = ''" if text else f"{c} IS NULL"
+    return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS missing_{c}"
+
+
+QUALITY = (_with() + "SELECT CAST(count(*) AS BIGINT) AS rows, " + ", ".join(
+    _missing(c, c in ("unique_carrier", "flight_num", "origin", "dest", "crs_dep_time"))
+    for c in ["flight_date", "day_of_week", "unique_carrier", "flight_num", "origin", "dest",
+              "crs_dep_time", "dep_delay", "arr_delay"]) + " FROM flights")

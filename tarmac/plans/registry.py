@@ -87,6 +87,7 @@ ORACLE: dict[str, str] = {
     "trip_offset_days_3": oracle.trips_sql(3),
     "curate_required": oracle.CURATE_REQUIRED,
     "complete_rows": oracle.COMPLETE_ROWS,
+    "curate_quality": oracle.QUALITY,
     "time_of_day_split": oracle.TIME_OF_DAY,
     "route_key": oracle.ROUTE_KEY,
     "mean_merge": oracle.Q12,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.columns import route_key
 from tarmac.operators.aggregate import merge_means, partial_means
-from tarmac.operators.curate import complete_rows, require, with_period
+from tarmac.operators.curate import complete_rows, quality_counts, require, with_period
 from tarmac.operators.lookup import lookup_many, lookup_question
 from tarmac.operators.trips import best_legs, two_leg_trips
 from tarmac.plans.questions import QUESTIONS, answer, question_input, ranking
@@ -52,6 +52,13 @@ def complete_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate_clean(complete_rows(read_clean(spark, path)))
 
 
+def curate_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSV round trip: rows read and, per curated column, rows where it is missing."""
+    path = write_raw_csv(_flights(spark, sf_dir), scratch_dir(spark, "raw-quality"))
+    fl = curate_raw(read_raw(spark, path))
+    return quality_counts(fl, fl.columns)
+
+
 def time_of_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     fl = require(_flights(spark, sf_dir), ["crs_dep_time"])
     return with_period(fl).select("flight_date", "flight_num", "crs_dep_time",
@@ -115,6 +122,7 @@ def lookup_many_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "curate_required": curate_required,
     "complete_rows": complete_rows_query,
+    "curate_quality": curate_quality,
     "time_of_day_split": time_of_day_split,
     "route_key": route_key_query,
     "mean_merge": mean_merge,

@@ -33,3 +33,13 @@ def test_to_double_is_lenient(spark):
     got = [r.v for r in df.select(to_double("s").alias("v")).collect()]
     assert got == [-4.0, None, None, None, 12.0]
     assert dict(df.select(to_double(F.col("s")).alias("v")).dtypes)["v"] == "double"
+
+
+def test_presentation_functions(spark):
+    from decimal import Decimal
+
+    from tarmac.functions.columns import format_delay, round3, to_decimal3
+    df = spark.createDataFrame([(30.850746268656717,)], "d double")
+    r = df.select(round3("d").alias("r"), to_decimal3("d").alias("x"),
+                  format_delay("d").alias("t"), format_delay("d", 2).alias("t2")).collect()[0]
+    assert r.r == 30.851 and r.x == Decimal("30.851") and r.t == "30.851" and r.t2 == "30.85"
