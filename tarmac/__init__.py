@@ -9,3 +9,11 @@ and as Structured Streaming queries whose final tables agree.
 from tarmac.session import get_session, scratch_dir
 
 __all__ = ["get_session", "scratch_dir"]
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that Spark runs in Python workers travel with the job, so that
+# executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
