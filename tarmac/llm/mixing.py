@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import WORD, free_name, materialise, text_of
 
 BLOCK_ROWS = 4096
+WINDOW = 32
 EPS = 1e-9
 
 
@@ -71,49 +72,62 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float = 1.
     return per.select("source", "source_size", "source_rows", target.alias("target"))
 
 
+def direction(size: np.ndarray) -> np.ndarray | None:
+    """A vector that changes neither the document nor the word total, or None.
+
+    The first (largest) document moves by 1 and the others make up for it
+    together, so it is settled while there are still smaller ones to balance it.
+    """
+    first, rest = size[0], size[1:]
+    spread = rest - rest.mean()
+    norm = float(spread @ spread)
+    if norm > 0:
+        return np.append(1.0, -(1 / len(rest) + (first - rest.mean()) * spread / norm))
+    if first == rest[0]:
+        return np.append(1.0, np.full(len(rest), -1 / len(rest)))
+    if len(rest) > 1:
+        return np.append([0.0, 1.0, -1.0], np.zeros(len(rest) - 2))
+    return None
+
+
+def _step(p: np.ndarray, at: np.ndarray, u: np.ndarray, draw: float) -> None:
+    """Go as far as the cube allows along ``u`` or against it, the means unchanged."""
+    x, moves = p[at], np.abs(u) > 1e-12
+    v = u[moves]
+    up, down = (1 - x[moves]) / np.abs(v), x[moves] / np.abs(v)
+    ahead = np.where(v > 0, up, down).min()
+    back = np.where(v > 0, down, up).min()
+    x[moves] += (ahead if draw * (ahead + back) < back else -back) * v
+    p[at] = np.where(x < EPS, 0.0, np.where(x > 1 - EPS, 1.0, x))
+
+
 def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Move probabilities to 0 or 1, keeping their sum and the sum of p * size; two or fewer stay open."""
+    """Move probabilities to 0 or 1, keeping their sum and the sum of p * size; two or fewer stay open.
+
+    Documents come in the order given (largest first) through a window.
+    """
     p = p.astype(float).copy()
-    todo = [i for i in range(len(p)) if EPS < p[i] < 1 - EPS]
-    todo.reverse()
-    draws = iter(rng.random(len(todo) + 1))
-    held: list[int] = []
-    while True:
-        while len(held) < 3 and todo:
-            held.append(todo.pop())
-        if len(held) < 2:
-            break
-        s = [float(size[i]) for i in held]
-        if len(held) == 3 and not s[0] == s[1] == s[2]:
-            u = (s[2] - s[1], s[0] - s[2], s[1] - s[0])
-        elif s[0] == s[1]:
-            u = (1.0, -1.0, 0.0)[:len(held)]
-        else:
-            break
-        _step(p, held, u, next(draws))
-        held = [i for i in held if EPS < p[i] < 1 - EPS]
+    size = size.astype(float)
+    todo = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+    held, next_ = todo[:WINDOW], WINDOW
+    while len(held) > 1 and (u := direction(size[held])) is not None:
+        _step(p, held, u, rng.random())
+        held = held[(p[held] > EPS) & (p[held] < 1 - EPS)]
+        more = WINDOW - len(held)
+        held = np.append(held, todo[next_:next_ + more])
+        next_ += more
     return p
 
 
-def _step(p: np.ndarray, at: list[int], u: Sequence[float], draw: float) -> None:
-    """Go as far as the cube allows along ``u`` or against it, the means unchanged."""
-    ahead = min(((1 - p[i]) / v if v > 0 else -p[i] / v) for i, v in zip(at, u) if v)
-    back = min((p[i] / v if v > 0 else (p[i] - 1) / v) for i, v in zip(at, u) if v)
-    go = ahead if draw * (ahead + back) < back else -back
-    for i, v in zip(at, u):
-        x = p[i] + go * v
-        p[i] = 0.0 if x < EPS else 1.0 if x > 1 - EPS else x
-
-
 def landing(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Settle the open rest: keep only the sum of p * size, then draw the last one."""
     p = p.copy()
-    open_ = [i for i in range(len(p)) if EPS < p[i] < 1 - EPS]
-    while len(open_) >= 2:
+    open_ = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+    while len(open_) > 1:
         a, b = open_[:2]
-        u = (float(size[b]), -float(size[a])) if size[a] or size[b] else (1.0, -1.0)
-        _step(p, [a, b], u, rng.random())
-        open_ = [i for i in open_ if EPS < p[i] < 1 - EPS]
+        u = np.array([size[b], -size[a]], float) if size[a] or size[b] else np.array([1.0, -1.0])
+        _step(p, np.array([a, b]), u / np.abs(u).max(), rng.random())
+        open_ = open_[(p[open_] > EPS) & (p[open_] < 1 - EPS)]
     for i in open_:
         p[i] = float(rng.random() < p[i])
     return np.where(p > 0.5, 1.0, 0.0)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, exact_dedup, mixing, sharding
+from tarmac.llm import chat, exact_dedup, mixing, pii, quality, sharding
 from tarmac.llm.common import read_table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,15 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(turns))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_documents(read_table(spark, sf_dir, "documents"),
+                                   read_table(spark, sf_dir, "labels"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -47,5 +56,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_personal_data": op6_personal_data,
+    "op7_quality_rules": op7_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
