@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, exact_dedup, mixing, pii, quality, sharding
+from tarmac.llm import chat, exact_dedup, jaccard_join, mixing, pii, quality, sharding
 from tarmac.llm.common import read_table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    read_table(spark, sf_dir, "labels"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -58,5 +62,6 @@ QUERIES: dict[str, Query] = {
     "op5_chat_formatting": op5_chat_formatting,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixing": op10_source_mixing,
 }

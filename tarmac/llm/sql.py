@@ -26,7 +26,31 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+# Linked pairs come from counting shared shingles; components by walking the links.
+OP9 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ')
+    ELSE array_to_string(ws[i:i + 2], ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id != y.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+r(doc_id, reach) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.reach = l.a)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.reach) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": OP1,
     "op5_chat_formatting": OP5,
+    "op9_jaccard_join": OP9,
 }
