@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, exact_dedup, jaccard_join, mixing, pii, quality, sharding
+from tarmac.llm import chat, exact_dedup, jaccard_join, lm_scoring, mixing, pii, quality, sharding
 from tarmac.llm.common import read_table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
@@ -58,6 +62,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_personal_data": op6_personal_data,
