@@ -48,7 +48,7 @@ HEAD_WORDS = 512
 HEAD_CLASSES = 16
 BUCKETS = 40
 ROUNDS = 3
-RATES = (0.02, 0.01, 0.005)
+RATES = (0.05, 0.02, 0.01)
 #: Weights of tasks are averaged in so many groups, then those of the groups.
 GROUPS = 64
 WEIGHTS = "weights binary, seen long, g int"

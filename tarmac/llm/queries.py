@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, exact_dedup, jaccard_join, lm_scoring, mixing, pii, quality, sharding
+from tarmac.llm import chat, exact_dedup, jaccard_join, lm_scoring, mixing, pii, quality, sentencepieces, sharding
 from tarmac.llm.common import read_table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+#: Where the public tokenizer models lie; a place for them is a parameter of the operator.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +26,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode_documents(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
@@ -63,6 +70,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_sentence_pieces": op3_sentence_pieces,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_personal_data": op6_personal_data,
