@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import SPACE, materialise, text_of
+from tarmac.llm.common import SPACE, free_name, materialise, text_of
 
 RUNS = ("doc_id long, text_sha256 string, part int, run long, place long, run_first long, "
         "run_rows long, first_run boolean, last_run boolean, edge_text string")
@@ -171,3 +171,19 @@ def dedup_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         "doc_id", F.col("whole_first").alias("keep_id"), F.col("whole_rows").alias("group_size"),
         ((F.col("place") == 0) & (F.col("rows_before") == 0)).alias("kept"), "text_sha256")
     return inner.unionByName(outer)
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without repeats of an equal text, columns as before.
+
+    Of rows that share the kept identifier and the text, one stays: rows are
+    kept by identifier and digest, and repeated rows of one identifier are
+    dropped.
+    """
+    kept_id, sha = (free_name(x, docs.columns) for x in ("_kept_id", "_sha"))
+    kept = dedup_groups(docs, key, text).filter("kept").select(
+        F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(sha + "_kept")).distinct()
+    told = docs.withColumn(sha, F.sha2(normalise(text_of(text)), 256))
+    met = told.join(kept, F.col(key).cast("long").eqNullSafe(F.col(kept_id))
+                    & (F.col(sha) == F.col(sha + "_kept")), "left_semi")
+    return met.dropDuplicates([key, sha]).select(*docs.columns)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, exact_dedup, jaccard_join, lm_scoring, mixing, pii, quality, sentencepieces, sharding
+from tarmac.llm import chat, exact_dedup, jaccard_join, line_dedup, lm_scoring, mixing, pii, quality, sentencepieces, sharding
 from tarmac.llm.common import read_table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    read_table(spark, sf_dir, "labels"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), width=3, percent=90)
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op5_chat_formatting": op5_chat_formatting,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
+    "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixing": op10_source_mixing,
 }
