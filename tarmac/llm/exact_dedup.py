@@ -22,7 +22,7 @@ names, are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.llm.common import SPACE, free_name, materialise, text_of
 
@@ -37,6 +38,10 @@ RUNS = ("doc_id long, text_sha256 string, part int, run long, place long, run_fi
         "run_rows long, first_run boolean, last_run boolean, edge_text string")
 
 
+#: How much of a text splitters hold.
+HEAD_CHARS = 32
+
+
 def normalise(text: Column) -> Column:
     """Each run of white space replaced by one space."""
     return F.regexp_replace(text, SPACE, " ")
@@ -173,17 +178,64 @@ def dedup_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return inner.unionByName(outer)
 
 
+def _starts(columns: int, names: list[str]) -> Callable:
+    """Rows of a sorted partition that begin a run of equal texts, whole; and its last row, marked.
+
+    The texts of the first and last rows come along for the comparison with
+    neighbouring partitions.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, begun = TaskContext.get().partitionId(), None, False
+
+        def told(rows: pa.RecordBatch, start: bool, first: bool, edge: list) -> pa.RecordBatch:
+            n = rows.num_rows
+            return pa.RecordBatch.from_arrays([
+                *rows.columns[:columns], pa.array(np.full(n, part, np.int32)), pa.array([start] * n),
+                pa.array([first] + [False] * (n - 1)), pa.array(edge + [None] * (n - len(edge)), pa.string())],
+                names=names)
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            texts = batch.column(columns)
+            new = np.ones(n, bool)
+            new[1:] = ~np.asarray(pc.equal(texts.slice(1), texts.slice(0, n - 1)))
+            if last is not None:
+                new[0] = texts[0].as_py() != last.column(columns)[0].as_py()
+            if new.any():
+                rows = batch.filter(pa.array(new))
+                yield told(rows, True, not begun, [] if begun else [texts[0].as_py()])
+                begun = True
+            last = batch.slice(n - 1)
+        if last is not None:
+            yield told(last, False, False, [last.column(columns)[0].as_py()])
+    return run
+
+
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without repeats of an equal text, columns as before.
 
-    Of rows that share the kept identifier and the text, one stays: rows are
-    kept by identifier and digest, and repeated rows of one identifier are
-    dropped.
+    Whole rows go through the content sort once; of equal texts the first
+    row in order of identifier stays.
     """
-    kept_id, sha = (free_name(x, docs.columns) for x in ("_kept_id", "_sha"))
-    kept = dedup_groups(docs, key, text).filter("kept").select(
-        F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(sha + "_kept")).distinct()
-    told = docs.withColumn(sha, F.sha2(normalise(text_of(text)), 256))
-    met = told.join(kept, F.col(key).cast("long").eqNullSafe(F.col(kept_id))
-                    & (F.col(sha) == F.col(sha + "_kept")), "left_semi")
-    return met.dropDuplicates([key, sha]).select(*docs.columns)
+    norm, head, sha, part, start, first, edge = (free_name(x, docs.columns) for x in (
+        "_norm", "_head", "_sha", "_part", "_start", "_first", "_edge"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(head), F.col(sha), F.col(key).cast("long")]
+    told = docs.withColumn(norm, normalise(text_of(text))).withColumn(sha, F.sha2(F.col(norm), 256)).withColumn(
+        head, F.substring(norm, 1, HEAD_CHARS))
+    told = told.repartitionByRange(n, *order).sortWithinPartitions(*order).select(*docs.columns, norm)
+    schema = T.StructType([*docs.schema.fields, T.StructField(part, T.IntegerType()),
+                           T.StructField(start, T.BooleanType()), T.StructField(first, T.BooleanType()),
+                           T.StructField(edge, T.StringType())])
+    rows = materialise(told.mapInArrow(_starts(len(docs.columns), schema.fieldNames()), schema), "dedup-firsts")
+    ends = rows.filter(F.col(first) | ~F.col(start)).groupBy(F.col(part).alias("p")).agg(
+        F.max(F.when(F.col(first), F.col(edge))).alias("first_text"),
+        F.max(F.when(~F.col(start), F.col(edge))).alias("last_text"))
+    places = ends.select("p", F.row_number().over(Window.orderBy("p")).alias("at"))
+    ends = ends.join(places, "p")
+    before = ends.select((F.col("at") + 1).alias("at"), F.col("last_text").alias("text_before"))
+    again = ends.join(before, "at").filter("first_text = text_before").select("p")
+    return rows.filter(F.col(start)).join(
+        again, F.col(first) & (F.col(part) == F.col("p")), "left_anti").select(*docs.columns)
