@@ -1,10 +1,9 @@
 """Lookups over result tables: one key, or many keys in one job.
 
 A lookup is a filter on the key columns (pushed to the Parquet scan of a
-stored result table).  Many lookups are one join with a small key table
-instead of one job per key; the key table is built from the request
-list, so its size is known on the driver and it is broadcast only below
-``MAX_BROADCAST_KEYS`` rows (a shuffle join otherwise).
+stored result table).  Many lookups are one semi join with the table of
+requested keys instead of one job per key; how it is run is left to the
+planner, which knows both sides' sizes.
 """
 
 from __future__ import annotations
@@ -16,9 +15,6 @@ from pyspark.sql import functions as F
 
 from tarmac.plans.questions import QUESTIONS
 
-MAX_BROADCAST_KEYS = 100_000
-
-
 def lookup(result: DataFrame, **key_values) -> DataFrame:
     """Rows of ``result`` whose columns equal the given values."""
     if not key_values:
@@ -30,6 +26,9 @@ def lookup(result: DataFrame, **key_values) -> DataFrame:
 def lookup_question(result: DataFrame, question: str, *values, **params) -> DataFrame:
     """Lookup with the catalog's parameters; missing values take the catalog defaults."""
     q = QUESTIONS[question]
+    unknown = set(params) - set(q.params)
+    if unknown or len(values) > len(q.params):
+        raise ValueError(f"{question} takes {q.params}; not {sorted(unknown) or list(values)}")
     merged = dict(zip(q.params, q.defaults))
     merged.update(zip(q.params, values))
     merged.update(params)
@@ -47,10 +46,6 @@ def lookup_many(result: DataFrame, key_cols: list[str], keys: list[tuple]) -> Da
     The output carries every requested key; keys without rows are absent
     (inner join), as in a point lookup that finds nothing.
     """
-    spark = result.sparkSession
-    kdf = keys_frame(spark, key_cols, keys).dropDuplicates()
-    if len(keys) <= MAX_BROADCAST_KEYS:
-        kdf = F.broadcast(kdf)
-    casted = [F.col(c).cast("string").alias(c) for c in key_cols]
-    probe = result.select(*casted, *[c for c in result.columns if c not in key_cols])
-    return probe.join(kdf, key_cols, "left_semi")
+    wanted = keys_frame(result.sparkSession, key_cols, keys).dropDuplicates()
+    typed = wanted.select(*[F.col(c).cast(result.schema[c].dataType).alias(c) for c in key_cols])
+    return result.join(typed, key_cols, "left_semi").select(*result.columns)

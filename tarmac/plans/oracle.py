@@ -7,6 +7,8 @@ and types match the Spark results one for one.
 
 from __future__ import annotations
 
+import random
+
 from tarmac.sources.testdata import FLIGHTS_SQL
 
 
@@ -123,6 +125,17 @@ def where(sql: str, cond: str) -> str:
     return f"SELECT * FROM ({sql}) q WHERE {cond}"
 
 
+def late_legs_sql(slices: int = 7, seed: int = 7) -> str:
+    """Best legs of the years that are later than all years staged before them."""
+    order = list(range(slices))
+    random.Random(seed).shuffle(order)
+    ahead = [y for i, y in enumerate(order) if y == max(order[:i + 1])]
+    years = ("SELECT y FROM (SELECT y, row_number() OVER (ORDER BY y) - 1 AS i FROM "
+             "(SELECT DISTINCT year(l_shipdate) AS y FROM lineitem)) "
+             f"WHERE i IN ({', '.join(map(str, ahead))})")
+    return where(BEST_LEGS, f"year(flight_date) IN ({years})")
+
+
 CURATE_REQUIRED = (_with() + "SELECT origin, dest, unique_carrier, arr_delay FROM flights WHERE "
                    + text_present("origin", "dest", "unique_carrier") + " AND arr_delay IS NOT NULL")
 COMPLETE_ROWS = (_with() + f"SELECT {FLIGHT_COLS} FROM flights WHERE flight_date IS NOT NULL "

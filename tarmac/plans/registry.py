@@ -112,4 +112,6 @@ ORACLE: dict[str, str] = {
     "stream_all_questions": oracle.long_sql(),
     "stream_best_leg": oracle.BEST_LEGS,
     "stream_q3_two_leg_trips": oracle.Q3,
+    "stream_late_data": oracle.late_legs_sql(),
+    "stream_undated": oracle.Q11,
 }

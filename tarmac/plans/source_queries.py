@@ -88,7 +88,8 @@ def scan_year_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_year_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return year_sorted(_flights(spark, sf_dir), TRIP_YEAR)
+    apply_runtime_conf(spark)
+    return year_sorted(spark, curated_flights_path(spark, sf_dir), TRIP_YEAR)
 
 
 def partitioned_legs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,14 +56,17 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked settings stay as the cluster set them
-            pass
+            if k == "spark.sql.session.timeZone":  # day boundaries depend on it
+                raise
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created under /tmp only when unset (tests)."""
+    """The shared checkpoint folder; a local one is made only on a local master (tests)."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tarmac-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.schema import RAW
+from tarmac.schema import RAW, RAW_COLUMNS
+from tarmac.sources.raw import CSV_OPTIONS, is_header
 
 BATCH_LINES = 50_000
 # Archive members with these suffixes are not data.
@@ -62,9 +63,7 @@ def archive_lines(spark: SparkSession, root: str) -> DataFrame:
 
 def read_archives(spark: SparkSession, root: str) -> DataFrame:
     """Raw flight rows (55 text columns + tail) with ``source_file`` and ``member``."""
-    lines = archive_lines(spark, root).filter(~F.col("line").startswith('"Year"')
-                                              & (F.length("line") > 0))
+    lines = archive_lines(spark, root).filter(F.length("line") > 0)
     parsed = lines.select("source_file", "member",
-                          F.from_csv("line", RAW.simpleString(), {"mode": "PERMISSIVE"})
-                          .alias("r"))
-    return parsed.select("r.*", "source_file", "member")
+                          F.from_csv("line", RAW.simpleString(), CSV_OPTIONS).alias("r"))
+    return parsed.filter(~is_header(F.col("r")[RAW_COLUMNS[0]])).select("r.*", "source_file", "member")

@@ -9,8 +9,6 @@ costs a re-read of Parquet, not a re-run of four joins.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,21 +28,20 @@ def read_flights(spark: SparkSession, path: str, years: list[int] | None = None)
     return df.select(*FLIGHT_COLUMNS, "year")
 
 
-def _signature(sf_dir: str) -> tuple:
+def _signature(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the tables, from whatever file system they lie on."""
     sig = []
     for name in ("lineitem", "orders", "customer", "supplier", "part", "nation"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        try:
-            st = os.stat(p)
-            sig.append((name, st.st_size, int(st.st_mtime)))
-        except OSError:  # not a local path: key on the name only
-            sig.append((name,))
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        sig.append((name, fs.getContentSummary(path).getLength(),
+                    fs.getFileStatus(path).getModificationTime()))
     return tuple(sig)
 
 
 def curated_flights_path(spark: SparkSession, sf_dir: str) -> str:
     """Path of the curated table for the test tables under ``sf_dir`` (built once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _signature(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _signature(spark, sf_dir))
     path = _CURATED.get(key)
     if path is None:
         path = write_flights(flights_from_tables(spark, sf_dir), scratch_dir(spark, "flights"))

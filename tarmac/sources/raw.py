@@ -3,7 +3,8 @@
 Raw files: comma-separated, text quoted, a header in every file, a
 trailing comma.  Spark's CSV reader handles the quoting (no comma
 repair), pads short rows with NULLs (PERMISSIVE) and reads empty fields
-as NULL; header lines met inside a file are dropped by value.  Only the
+as NULL.  Header lines, quoted or not, are dropped by value wherever they
+stand, so a file without one loses no row.  Only the
 columns a job selects are parsed (CSV column pruning).
 
 Clean files: ``;``-separated text with 9 fields; a surplus ``;`` stays
@@ -23,14 +24,21 @@ from tarmac.schema import CLEAN_COLUMNS, CLEAN_TO_FLIGHTS, RAW, RAW_COLUMNS, RAW
     RAW_TO_FLIGHTS
 
 
+# How a raw line is parsed, by the scan and by the archive reader alike.
+CSV_OPTIONS = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
+
+
+def is_header(first_field: Column) -> Column:
+    """Whether a line is a header, from its first field."""
+    return F.coalesce(F.trim(first_field) == F.lit(RAW_COLUMNS[0]), F.lit(False))
+
+
 def read_raw(spark: SparkSession, paths: str | list[str], path_glob: str | None = None) -> DataFrame:
     """Scan raw CSV files (all columns text)."""
-    reader = (spark.read.schema(RAW).option("header", True).option("mode", "PERMISSIVE")
-              .option("quote", '"').option("escape", '"'))
+    reader = spark.read.schema(RAW).option("header", False).options(**CSV_OPTIONS)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
-    df = reader.csv(paths)
-    return df.filter(F.col("Year").isNull() | (F.col("Year") != F.lit("Year")))
+    return reader.csv(paths).filter(~is_header(F.col(RAW_COLUMNS[0])))
 
 
 def _text(c: Column) -> Column:

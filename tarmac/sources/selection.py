@@ -12,7 +12,6 @@ columns instead of landing in one task.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tarmac.sources.curated import read_flights
 
@@ -25,8 +24,8 @@ def flights_of_years(spark, curated_path: str, years: list[int]) -> DataFrame:
     return read_flights(spark, curated_path, years).drop("year")
 
 
-def year_sorted(flights: DataFrame, year: int) -> DataFrame:
-    """Flights of one year in date order (stable, total order)."""
-    return (flights.filter(F.year("flight_date") == F.lit(year))
+def year_sorted(spark, curated_path: str, year: int) -> DataFrame:
+    """Flights of one year in date order (stable, total order); other years' directories are skipped."""
+    return (flights_of_years(spark, curated_path, [year])
             .repartitionByRange(*SORT_ORDER)
             .sortWithinPartitions(*SORT_ORDER))

@@ -12,6 +12,7 @@ without event time never see it (it is only staged for those with one).
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ STREAM_SCHEMA = T.StructType(FLIGHTS.fields + [
     T.StructField("slice", T.StringType(), True),
 ])
 SENTINEL_DATE = dt.date(9999, 1, 1)
+UNDATED = "undated"
 
 
 def with_event_time(flights: DataFrame) -> DataFrame:
@@ -45,32 +47,39 @@ def read_stream(spark: SparkSession, stage_dir: str, max_files_per_trigger: int
 class Replay:
     """Stage ``flights`` as ordered slices (years or months) for a file stream.
 
-    ``max_slices`` groups consecutive years / months into at most that many
-    slices.  Each slice is written beside the watched folder and then
-    renamed into it, so a micro-batch sees a whole slice or none of it.
+    Flights without a date are a slice of their own, the last one.  Each
+    slice is written beside the watched folder and then renamed into it, so
+    a micro-batch sees a whole slice or none of it.  A folder that already
+    holds slices is added to; with ``resume`` the slices it holds are not
+    staged again, which continues a replay that was stopped.
     """
 
     def __init__(self, flights: DataFrame, stage_dir: str, slice_by: str = "year",
-                 shuffled: bool = False, seed: int = 7, max_slices: int | None = None):
+                 shuffled: bool = False, seed: int = 7, resume: bool = False):
         fmt = {"year": "yyyy", "month": "yyyy-MM"}[slice_by]
         self.frame = with_event_time(flights.select(*FLIGHT_COLUMNS)).withColumn(
-            "slice", F.date_format("flight_date", fmt))
+            "slice", F.coalesce(F.date_format("flight_date", fmt), F.lit(UNDATED)))
         self.stage_dir = stage_dir
         self.tmp_dir = stage_dir.rstrip("/") + "-incoming"
         # the slice keys are few (one per year or month): listing them on the driver is bounded
-        keys = sorted(r[0] for r in self.frame.select("slice").distinct().collect() if r[0])
-        groups = [[k] for k in keys]
-        if max_slices and len(keys) > max_slices:
-            size = -(-len(keys) // max_slices)
-            groups = [keys[i:i + size] for i in range(0, len(keys), size)]
+        self.keys = sorted(r[0] for r in self.frame.select("slice").distinct().collect())
         if shuffled:
-            import random
-            random.Random(seed).shuffle(groups)
-        self.keys = groups
-        self._n = 0
-
-    def _write(self, df: DataFrame) -> None:
-        name = f"{self._n:05d}"
+            random.Random(seed).shuffle(self.keys)
+        staged = self._staged()
+        self._n = 1 + max((int(n.partition("-")[0]) for n in staged), default=-1)
+        if resume:
+            held = {n.partition("-")[2] for n in staged}
+            self.keys = [k for k in self.keys if k not in held]
+
+    def _staged(self) -> list[str]:
+        """Names (number-slice) of the slices that the watched folder holds."""
+        sc = self.frame.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.stage_dir)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _write(self, df: DataFrame, key: str) -> None:
+        name = f"{self._n:05d}-{key}"
         df.write.mode("overwrite").parquet(f"{self.tmp_dir}/{name}")
         spark = df.sparkSession
         jvm = spark.sparkContext._jvm
@@ -78,12 +87,18 @@ class Replay:
         dst = jvm.org.apache.hadoop.fs.Path(f"{self.stage_dir}/{name}")
         fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         fs.mkdirs(dst.getParent())
+        if fs.exists(dst):
+            raise FileExistsError(str(dst))
         if not fs.rename(src, dst):
             raise OSError(f"could not move {src} to {dst}")
         self._n += 1
 
-    def write_slice(self, keys: list[str]) -> None:
-        self._write(self.frame.filter(F.col("slice").isin(*keys)))
+    def write_slice(self, key: str) -> None:
+        self._write(self.frame.filter(F.col("slice") == F.lit(key)), key)
+
+    def write_empty(self) -> None:
+        """A slice without rows, so that a stream without flights has its (empty) result."""
+        self._write(self.frame.limit(0), "empty")
 
     def write_sentinel(self) -> None:
         spark = self.frame.sparkSession
@@ -93,4 +108,4 @@ class Replay:
         # branches of a period split see it
         rows = [(SENTINEL_DATE, 1, "~", "~", "~", "~", hhmm, 0.0, 0.0,
                  dt.datetime(9999, 1, 1, int(hhmm[:2])), "sentinel") for hhmm in ("0000", "1200")]
-        self._write(spark.createDataFrame(rows, STREAM_SCHEMA))
+        self._write(spark.createDataFrame(rows, STREAM_SCHEMA), "sentinel")

@@ -6,10 +6,14 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from tarmac.operators.lookup import lookup_many, lookup_question
 from tarmac.plans.questions import answer, question_input
+from tarmac.sources import archives, raw
 from tarmac.sources.archives import read_archives
 from tarmac.sources.raw import curate_clean, curate_raw, read_clean, read_raw
 
+from tests.conftest import rows
+
 FIX = os.path.join(os.path.dirname(__file__), "fixtures")
 RAW = os.path.join(FIX, "raw_sample.csv")
 
@@ -81,3 +85,26 @@ def test_archive_ingest_skips_html_and_keeps_same_named_archives(spark, tmp_path
     fl = curate_raw(rows)
     got = {r.unique_carrier: (r.delay, r.n_flights) for r in answer(fl, "q1.2").collect()}
     assert got == {"AA": (11.0, 10), "UA": (3.0, 8)}
+
+
+@pytest.mark.parametrize("header", ["", "Year,Quarter,Month\n", '"Year","Quarter"\n'])
+def test_headers_are_found_by_value_in_both_readers(spark, tmp_path, header):
+    line = lambda y: ",".join([str(y)] + [f'"v{i}"' for i in range(1, 55)]) + ",\n"
+    text = header + line(2008) + header + line(2009) + line(2010)
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text(text)
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as zf:
+        zf.writestr("a.csv", text)
+    columns = ["Year", "Origin", "ArrDelay"]
+    plain = rows(raw.read_raw(spark, str(tmp_path / "raw")).select(*columns))
+    assert [r[2] for r in plain] == ["2008", "2009", "2010"]
+    assert rows(archives.read_archives(spark, str(tmp_path)).select(*columns)) == plain
+
+
+def test_lookups_refuse_unknown_parameters_and_keep_types(spark):
+    table = spark.createDataFrame([("2008-01-01", "A")], "d string, origin string").selectExpr(
+        "cast(d as date) date1", "origin")
+    with pytest.raises(ValueError):
+        lookup_question(table, "q2.4", orig="A")
+    got = lookup_many(table, ["date1"], [("2008-01-01",), ("2008-01-02",)])
+    assert got.schema == table.schema and got.count() == 1
