@@ -33,6 +33,12 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound what one Arrow batch between the JVM and Python holds, in rows and in bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def free_name(wanted: str, taken: list[str]) -> str:
     """A column name that no column of ``taken`` has (names compare without case)."""
     low, name = {t.lower() for t in taken}, wanted

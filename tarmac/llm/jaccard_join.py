@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import materialise
+from tarmac.llm.common import bound_batches, materialise
 from tarmac.llm.components import connected_components
 from tarmac.llm.signature_tree import SignatureTree, least_overlap, signature
 from tarmac.llm.words import chunks, shingle_sets
@@ -52,6 +52,7 @@ from tarmac.llm.words import chunks, shingle_sets
 FREQUENT = 16
 MOST_FREQUENT = 200_000
 BLOCK_ROWS = 1024
+CHUNK_BYTES = 1_000_000
 
 
 def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
@@ -78,7 +79,7 @@ def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
-        for lo, hi in chunks(texts):
+        for lo, hi in chunks(texts, CHUNK_BYTES):
             yield ids.slice(lo, hi - lo), shingle_sets(texts.slice(lo, hi - lo).to_pylist(), width)
 
 
@@ -170,7 +171,7 @@ def _traverse(percent: int, forest: bool) -> Callable:
                 above[i] = i = above[above[i]]
             return i
 
-        for i, j in tree.pairs():
+        for i, j in tree.pairs(root if forest else None):
             if forest:
                 x, y = root(i), root(j)
                 if x == y:
@@ -237,6 +238,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
                        text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest identifier reachable)."""
     spark = docs.sparkSession
+    bound_batches(spark)
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(
         _frequent_keys(plain.filter("doc_id is not null").select("doc_id", "text"), width, percent))
