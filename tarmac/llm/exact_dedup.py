@@ -1,11 +1,13 @@
 """Exact deduplication by content sort (operator 1).
 
 Normalised texts are range-partitioned by splitters that Spark samples,
-and sorted (spilling to disk) inside each partition.  Equal texts are then
-neighbours; each row is compared in full with the row before it.  The key
-of a row is (text, identifier), so a text with very many copies is dealt
-over several partitions, and the first row of a run holds the smallest
-identifier.
+and sorted (spilling to disk) inside each partition.  The order is that of
+the text's first characters, then its digest, then the identifier: sampled
+splitters, which pass through the driver, stay short however long the
+texts are.  Equal texts are then neighbours; each row is compared in full
+with the row before it.  As the identifier is part of the order, a text
+with very many copies is dealt over several partitions, and the first row
+of a run holds the smallest identifier.
 
 A run can cross partitions.  Each partition therefore reports its first
 and last text; neighbouring partitions' texts are compared in full, in a
@@ -164,8 +166,10 @@ def dedup_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     norm = docs.select(F.col(key).cast("long").alias("doc_id"),
                        normalise(text_of(text)).alias("norm"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = norm.repartitionByRange(n, "norm", "doc_id").sortWithinPartitions("norm", "doc_id")
-    told = ordered.select("doc_id", "norm", F.sha2(F.col("norm"), 256).alias("sha"))
+    order = ["head", "sha", "doc_id"]
+    told = norm.withColumn("sha", F.sha2(F.col("norm"), 256)).withColumn(
+        "head", F.substring("norm", 1, HEAD_CHARS))
+    told = told.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "norm", "sha")
     runs = materialise(told.mapInArrow(_runs, RUNS), "dedup-runs")
     edges = _edges(runs)
     at_edge = F.col("first_run") | F.col("last_run")
