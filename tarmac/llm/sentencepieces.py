@@ -104,7 +104,9 @@ class Model:
     def table(self, spark: SparkSession) -> DataFrame:
         if len(self.pieces) > MOST_PIECES:
             raise ValueError(f"a model has at most {MOST_PIECES} pieces")
-        return spark.createDataFrame(list(self.pieces), "piece string, score double, id int")
+        order = {x: r for r, x in enumerate(sorted({-s for _, s, _ in self.pieces}))}
+        return spark.createDataFrame([(p, s, i, order[-s]) for p, s, i in self.pieces],
+                                     "piece string, score double, id int, rank int")
 
 
 def merge_pieces(word: str, ranks: dict[str, tuple[float, int]], model: Model) -> list[int]:
@@ -147,7 +149,7 @@ def word_pattern(model: Model) -> re.Pattern:
                       else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
-PACKED = "chunk string, doc_ids array<long>, sizes array<long>, words array<string>, places binary"
+PACKED = "chunk long, doc_ids array<long>, sizes array<long>, words array<string>, places binary"
 
 
 def _pack(pattern: re.Pattern) -> Callable:
@@ -173,7 +175,7 @@ def _pack(pattern: re.Pattern) -> Callable:
                 row = lambda values, kind: pa.ListArray.from_arrays(
                     pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([f"{part}-{number}"]),
+                    pa.array([(part << 32) + number], pa.int64()),
                     row(batch.column(0).slice(lo, hi - lo).to_pylist(), pa.int64()), row(sizes, pa.int64()),
                     row([words[i] for i in order], pa.string()),
                     pa.array([squeeze.compress(planes.tobytes())], pa.binary())],
@@ -191,52 +193,86 @@ def _bit(at: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
 
-def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """``word``, and ``edges``: each piece (or lone character) that a substring of it matches.
-
-    An edge has cost (minus the score), start, end, ids, and as bit masks its
-    two ends and what lies between them.
-    """
-    spark = words.sparkSession
-    table = F.broadcast(model.table(spark))
+def _matches(words: DataFrame, model: Model) -> DataFrame:
+    """Each substring of a word (start, len, sub) that is a piece (id, score, rank) or one character."""
+    ranked = model.table(words.sparkSession)
     size = F.length("word")
     cut = words.withColumn("size", size).withColumn(
         "start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
     cut = cut.withColumn("len", F.explode(F.sequence(
         F.lit(1), F.least(F.lit(model.longest), F.col("size") - F.col("start")))))
     cut = cut.withColumn("sub", F.substring("word", F.col("start") + 1, F.col("len")))
-    met = cut.join(table, F.col("sub") == F.col("piece"), "left").filter(
+    return cut.join(F.broadcast(ranked), F.col("sub") == F.col("piece"), "left").filter(
         F.col("piece").isNotNull() | (F.col("len") == 1))
+
+
+def _fallback(char: Column, model: Model) -> Column:
+    """Identifiers for a character that is no piece: those of its bytes, or the unknown one."""
+    if not model.bytes:
+        return F.array(F.lit(model.unknown))
+    digits = F.hex(F.encode(char, "UTF-8"))
+    table = F.array(*map(F.lit, model.bytes))
+    return F.transform(F.sequence(F.lit(0), F.octet_length(char) - 1), lambda i: F.element_at(
+        table, F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + 1))
+
+
+def lattice(words: DataFrame, model: Model) -> DataFrame:
+    """``word``, and ``edges`` as structs: cost (minus the score), start, end, ids."""
     low = min(s for _, s, _ in model.pieces) - UNKNOWN_PENALTY
-    hexed = F.hex(F.encode("sub", "UTF-8"))
-    raw = F.transform(F.sequence(F.lit(0), F.octet_length("sub") - 1), lambda i: F.element_at(
-        F.array(*map(F.lit, model.bytes)), (F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10)
-                                            .cast("int") + 1))) if model.bytes else F.array(F.lit(model.unknown))
-    end = F.col("start") + F.col("len")
-    inner = (_bit(end) - 1).bitwiseAND(F.bitwise_not(_bit(F.col("start") + 1) - 1))
-    edge = F.struct(
-        (-F.coalesce("score", F.lit(low))).alias("cost"), "start", end.alias("end"),
-        F.when(F.col("piece").isNotNull(), F.array("id")).otherwise(raw).alias("ids"),
-        _bit(F.col("start")).bitwiseOR(_bit(end)).alias("both"), inner.alias("inner"))
-    return met.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-
-
-def fold_merges(word: Column, edges: Column) -> Column:
-    """Pieces of a BPE model: at each step the best edge over exactly two neighbours joins them."""
+    edge = F.struct((-F.coalesce("score", F.lit(low))).alias("cost"), "start",
+                    (F.col("start") + F.col("len")).alias("end"),
+                    F.when(F.col("piece").isNotNull(), F.array("id")).otherwise(
+                        _fallback(F.col("sub"), model)).alias("ids"))
+    return _matches(words, model).groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+
+#: An edge as a long, for words of up to FOLD_CHARS: rank of the score (best first), start, length, identifier.
+RANK_BITS, START_BITS, LEN_BITS, ID_BITS = 21, 6, 7, 21
+NO_ID = (1 << ID_BITS) - 1
+
+
+def packed_lattice(words: DataFrame, model: Model) -> DataFrame:
+    """``word``, and ``edges`` as longs in order of rank, then start."""
+    put = lambda c, bits: F.shiftleft(F.col(c).cast("long") if isinstance(c, str) else c, bits)
+    rank = F.coalesce("rank", F.lit((1 << RANK_BITS) - 1)).cast("long")
+    edge = (put(rank, START_BITS + LEN_BITS + ID_BITS).bitwiseOR(put("start", LEN_BITS + ID_BITS))
+            .bitwiseOR(put("len", ID_BITS)).bitwiseOR(F.coalesce("id", F.lit(NO_ID)).cast("long")))
+    return _matches(words, model).groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+
+def fold_merges(word: Column, edges: Column, model: Model) -> Column:
+    """Pieces of a BPE model: at each step the best edge over exactly two neighbours joins them.
+
+    The fold's state has a bit for each boundary that is left.
+    """
+    def opened(e: Column) -> Column:
+        take = lambda at, bits: F.shiftright(e, at).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+        start, size = take(LEN_BITS + ID_BITS, START_BITS), take(ID_BITS, LEN_BITS)
+        end = start + size
+        return F.struct(start.alias("start"), take(0, ID_BITS).alias("id"),
+                        _bit(start).bitwiseOR(_bit(end)).alias("both"),
+                        (_bit(end) - 1).bitwiseAND(F.bitwise_not(_bit(start + 1) - 1)).alias("inner"))
+
     ends = lambda s, e: s.bitwiseAND(e["both"]) == e["both"]
-    merges = F.filter(edges, lambda e: e["inner"] != 0)
+    whole = _bit(F.length(word) + 1) - 1
 
-    def step(s: Column, _: Column) -> Column:
+    def step(merges: Column, s: Column) -> Column:
         fits = F.filter(merges, lambda e: ends(s, e) & (F.bit_count(s.bitwiseAND(e["inner"])) == 1))
         return F.coalesce(s.bitwiseAND(F.bitwise_not(F.get(fits, F.lit(0))["inner"])), s)
 
-    whole = _bit(F.length(word) + 1) - 1
-    bounds = F.aggregate(F.sequence(F.lit(1), F.length(word)), whole, step)
-    chosen = lambda s: F.filter(edges, lambda e: ends(s, e) & (s.bitwiseAND(e["inner"]) == 0))
-    # a list of one, so that the fold is run once and not for each edge
-    return F.flatten(F.flatten(F.transform(F.array(bounds), lambda s: F.transform(
-        F.array_sort(F.transform(chosen(s), lambda e: F.struct(e["start"].alias("start"), e["ids"].alias("ids")))),
-        lambda e: e["ids"]))))
+    def pieces(es: Column) -> Column:
+        merges = F.filter(es, lambda e: e["inner"] != 0)
+        bounds = F.transform(F.array(merges), lambda m: F.aggregate(
+            F.sequence(F.lit(1), F.length(word)), whole, lambda s, _: step(m, s)))
+        chosen = F.transform(bounds, lambda s: F.array_sort(F.transform(
+            F.filter(es, lambda e: ends(s, e) & (s.bitwiseAND(e["inner"]) == 0)),
+            lambda e: F.struct(e["start"].alias("start"), e["id"].alias("id")))))
+        return F.transform(F.get(chosen, F.lit(0)), lambda c: F.when(
+            c["id"] != NO_ID, F.array(c["id"])).otherwise(
+            _fallback(F.substring(word, c["start"] + 1, F.lit(1)), model)))
+
+    # lists of one, so that edges are opened and the fold is run once
+    return F.flatten(F.get(F.transform(F.array(F.transform(edges, opened)), pieces), F.lit(0)))
 
 
 def fold_viterbi(word: Column, edges: Column) -> Column:
@@ -275,11 +311,11 @@ def _long_words(model: Model) -> Callable:
 
 def encode_words(words: DataFrame, model: Model) -> DataFrame:
     """``word`` and ``ids`` for distinct words (column ``word``, non-empty)."""
-    short = words if model.kind == UNIGRAM else words.filter(F.length("word") <= FOLD_CHARS)
-    fold = fold_viterbi if model.kind == UNIGRAM else fold_merges
-    told = lattice(short, model).select("word", fold(F.col("word"), F.col("edges")).alias("ids"))
     if model.kind == UNIGRAM:
-        return told
+        return lattice(words, model).select("word", fold_viterbi(F.col("word"), F.col("edges")).alias("ids"))
+    short = words.filter(F.length("word") <= FOLD_CHARS)
+    told = packed_lattice(short, model).select(
+        "word", fold_merges(F.col("word"), F.col("edges"), model).alias("ids"))
     long_ = words.filter(F.length("word") > FOLD_CHARS).select("word")
     return told.unionByName(long_.mapInArrow(_long_words(model), "word string, ids array<int>"))
 
