@@ -48,11 +48,14 @@ HEAD_WORDS = 512
 HEAD_CLASSES = 16
 BUCKETS = 40
 ROUNDS = 3
+CHUNK_BYTES = 10_000_000
+#: Tokens scored or learnt at a time (whole documents; more only for a longer one).
+SLAB = 200_000
 RATES = (0.05, 0.02, 0.01)
 #: Weights of tasks are averaged in so many groups, then those of the groups.
 GROUPS = 64
 WEIGHTS = "weights binary, seen long, g int"
-CHUNK = ("chunk string, doc_ids array<long>, held array<boolean>, tokens array<long>, "
+CHUNK = ("chunk long, doc_ids array<long>, held array<boolean>, tokens array<long>, "
          "words array<binary>, counts array<long>, ids binary")
 
 
@@ -65,7 +68,7 @@ def _coded_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, number = TaskContext.get().partitionId(), 0
     squeeze = zstandard.ZstdCompressor(level=1)
     for batch in batches:
-        for lo, hi in chunks(batch.column(2)):
+        for lo, hi in chunks(batch.column(2), CHUNK_BYTES):
             keys, held = batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)
             ids, counts, words = number_words(batch.column(2).slice(lo, hi - lo).to_pylist())
             ids = np.insert(ids, np.cumsum(counts), len(words))
@@ -75,7 +78,7 @@ def _coded_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = lambda values, kind: pa.ListArray.from_arrays(
                 pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
             yield pa.RecordBatch.from_arrays([
-                pa.array([f"{part}-{number}"]), row(keys.to_pylist(), pa.int64()),
+                pa.array([(part << 32) + number], pa.int64()), row(keys.to_pylist(), pa.int64()),
                 row(held.to_pylist(), pa.bool_()), row(counts, pa.int64()),
                 row([*words, END], pa.binary()), row(seen, pa.int64()),
                 pa.array([squeeze.compress(ids.astype(np.int32).tobytes())], pa.binary())],
@@ -151,15 +154,24 @@ def _training_codes(held: list[bool], tokens: list[int], codes: bytes) -> np.nda
     return np.frombuffer(codes, np.uint16)[np.repeat(~np.array(held, bool), tokens)].astype(np.int64)
 
 
+def slabs(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``SLAB`` tokens that end where documents end."""
+    lo = 0
+    while len(ends) and lo < ends[-1]:
+        hi = int(ends[max(np.searchsorted(ends, lo + SLAB, "right") - 1, np.searchsorted(ends, lo, "right"))])
+        yield lo, hi
+        lo = hi
+
+
 def _learn(weights: "Broadcast", like: recurrent.Params, shape: recurrent.Shape, rate: float) -> Callable:  # noqa: F821
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, seen = recurrent.Trainer(recurrent.unpack(weights.value, like), shape, rate), 0
         for batch in batches:
             for i in range(batch.num_rows):
                 codes = _training_codes(*(batch.column(c)[i].as_py() for c in ("held", "tokens", "codes")))
-                if len(codes):
-                    trainer.learn(codes)
-                    seen += len(codes)
+                for lo, hi in slabs(np.flatnonzero(codes == 0) + 1):
+                    trainer.learn(codes[lo:hi])
+                seen += len(codes)
         if seen:
             yield _weighted(recurrent.pack(trainer.p), seen, TaskContext.get().partitionId() % GROUPS)
     return run
@@ -206,7 +218,8 @@ def _scored(weights: "Broadcast", like: recurrent.Params, shape: recurrent.Shape
                 codes = np.frombuffer(get["codes"], np.uint16).astype(np.int64)
                 tokens = np.array(get["tokens"], np.int64)
                 first = np.append(0, np.cumsum(tokens))[:-1]
-                score = np.add.reduceat(recurrent.score_stream(params, shape, codes), first)
+                told = [recurrent.score_stream(params, shape, codes[lo:hi]) for lo, hi in slabs(np.cumsum(tokens))]
+                score = np.add.reduceat(np.concatenate(told), first)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(get["doc_ids"], pa.int64()), pa.array(get["held"], pa.bool_()),
                     pa.array(tokens), pa.array(get["known"], pa.int64()),
@@ -238,7 +251,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     whole = packed.select("chunk", "doc_ids", "held", "tokens", F.size("words").alias("words_n"), "ids")
     coded = materialise(whole.groupBy("chunk").cogroup(met.groupBy("of")).applyInArrow(
         _coded(told, {b: float(s[0]) for b, s in sums.items()}),
-        "chunk string, doc_ids array<long>, held array<boolean>, tokens array<long>, known array<long>, "
+        "chunk long, doc_ids array<long>, held array<boolean>, tokens array<long>, known array<long>, "
         "base array<double>, inside array<double>, codes binary"), "lm-coded")
     shape = _shape(told["head"])
     counts = np.zeros(shape.codes)
