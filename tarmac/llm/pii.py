@@ -81,7 +81,10 @@ _BETWEEN = "(?:[ ,-]+(?:dot[ ]+)?)"
 SPELLED = re.compile(rf"\b(?:plus[ ,-]+)?(?:{_DIGIT}|[0-9]+){_BETWEEN}(?:(?:{_DIGIT}|[0-9]+){_BETWEEN})*"
                      rf"(?:{_DIGIT}|[0-9]+)\b", re.I)
 SPELLED_PART = re.compile(rf"plus|dot|{_DIGIT}|[0-9]+", re.I)
-SPELLED_HINT = re.compile(rf"(?<=[a-z])[ ,-]+{_DIGIT}(?![a-z])")
+#: A run with two spelled digits has one after another digit (spelled or not), without a dot or with it.
+SPELLED_HINT = re.compile(rf"(?<=[a-z0-9])[ ,-]+{_DIGIT}(?![a-z])")
+#: What else the patterns take for i and s, as case is ignored.
+FOLDED = str.maketrans({"ı": "i", "ſ": "s"})
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 AT = re.compile(rf"[ ]?{_OPEN}[ ]?(?:at|@)[ ]?{_SHUT}[ ]?|(?<=[A-Za-z0-9])(?:_at_|[ ]@[ ])(?=[A-Za-z0-9])",
                 re.I)
@@ -95,8 +98,14 @@ BARE_PART = re.compile(r"[ ](at|dot)[ ]", re.I)
 BRACKETED = re.compile(rf"{_OPEN}[ ]?(?:at|@|dot|\.)[ ]?{_SHUT}")
 
 
+def lower(text: str) -> str:
+    low = text.lower()
+    # a capital i with a dot becomes two characters
+    return low if low.isascii() else low.replace("i\u0307", "i").translate(FOLDED)
+
+
 def hinted(low: str) -> bool:
-    """Whether a text (lower case) may hold an at, dot or digit in disguise."""
+    """Whether a text (lower case) may hold an at, dot or digit in disguise; never false where one is rewritten."""
     return ("dot" in low or "_at_" in low or " @ " in low or BRACKETED.search(low) is not None
             or SPELLED_HINT.search(low) is not None)
 
@@ -214,7 +223,7 @@ def plain_letters(r: Rewritten) -> None:
 
 
 def _digit(word: str) -> str:
-    word = word.lower()
+    word = lower(word)
     fixed = {"plus": "+", "dot": ".", "oh": "0"}
     return word if word.isdigit() else fixed.get(word) or str(DIGIT_WORDS.index(word))
 
@@ -224,7 +233,7 @@ def spelled_digits(r: Rewritten) -> None:
     edits = []
     for m in SPELLED.finditer(r.text):
         parts = list(SPELLED_PART.finditer(r.text, *m.span()))
-        if sum(not (p[0].isdigit() or p[0].lower() in ("plus", "dot")) for p in parts) < 2:
+        if sum(not (p[0].isdigit() or lower(p[0]) in ("plus", "dot")) for p in parts) < 2:
             continue
         for p, after in zip(parts, [*parts[1:], None]):
             edits.append((*p.span(), _digit(p[0])))
@@ -243,10 +252,10 @@ def at_and_dot(r: Rewritten) -> None:
     r.replace(edits)
 
 
-def disguised_spans(text: str) -> dict[str, list[Span]]:
-    """Finds in the rewritten text, as spans of the source."""
+def disguised_spans(text: str, gated: bool = True) -> dict[str, list[Span]]:
+    """Finds in the rewritten text, as spans of the source; the gate saves time only."""
     strange = odd(text)
-    if not strange and not hinted(text.lower()):
+    if gated and not strange and not hinted(lower(text)):
         return {}
     r = Rewritten(text)
     if strange:

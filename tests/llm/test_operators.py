@@ -266,6 +266,19 @@ def test_disguised_personal_data(text, kind, span):
     assert span not in pii.mask(text, pii.written(every))
 
 
+def test_gate_never_hides_a_disguised_find():
+    for text, kind in (("card 4 one 1 one 1 one 1 one 1 one 1 one 1 one 1 one", "card"),
+                       ("call +1 five 5 five 0 one 2 three 4 now", "phone"),
+                       ("card four one one one one one one one one one one one one one one one".replace("one", "ONE"), "card"),
+                       ("call plus one fıve ſix five 0 one 2 three 4 now", "phone")):
+        assert pii.disguised_spans(text)[kind]
+    rng = random.Random(6)
+    parts = ["1", "4", "42", "one", "Four", "oh", "ſix", "fıve", "NİNE", "plus", "+1", "dot", "at", "@", "x", "stone", "[at]", "(", ")"]
+    for _ in range(5000):
+        text = "".join(rng.choice(parts) + rng.choice([" ", " ", "-", ", ", "", "."]) for _ in range(rng.randint(2, 24)))
+        assert pii.disguised_spans(text) == pii.disguised_spans(text, gated=False), text
+
+
 def test_clean_text_has_no_finds():
     for text in ("look at the example.com page", "we saw one two three birds", "a dot on the map at noon", "été à 10.5"):
         assert pii.written(pii.all_spans(text)[1]) == ""
