@@ -20,11 +20,12 @@ The fold holds a word's boundaries in the bits of a long.  Words of over 62
 characters are merged by a heap instead, with the same result, in time
 that grows with length times its logarithm.
 
-Decoding joins pieces to identifiers and puts their bytes together.
+Decoding looks up each row's identifiers in the piece table and puts their
+bytes together; rows never meet, so identifiers may be null or repeated.
 
 Defined cases: null or empty text has no pieces; bytes that are not UTF-8
 cannot occur in a string column; on decoding, ill-formed bytes become
-U+FFFD, identifiers outside the model are ignored, and control pieces are
+U+FFFD, identifiers outside the model are ignored, and control pieces and nulls are
 nothing; repeated rows are encoded alike; an empty table gives an empty
 result; other columns are not read.
 """
@@ -42,6 +43,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.llm.common import materialise
 from tarmac.llm.words import chunks
@@ -365,16 +367,31 @@ def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
         "doc_id long, n_pieces long, piece_ids array<int>, round_trip boolean")
 
 
+def _decode(model: Model, at: int) -> Callable:
+    """Batches with their texts added, from the pieces in column ``at``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = model.written()
+        pieces = [known.get(i, b"") for i in range(max(known) + 1)]
+        ends = np.append(0, np.cumsum([len(x) for x in pieces]))
+        every = np.frombuffer(b"".join(pieces), np.uint8)
+        for batch in batches:
+            texts = []
+            for row in batch.column(at):
+                ids = np.asarray(row.values.to_numpy(zero_copy_only=False), float) if row.is_valid else np.zeros(0)
+                # null identifiers are no numbers, and fail both comparisons
+                ids = ids[(ids >= 0) & (ids < len(pieces))].astype(np.int64)
+                sizes = ends[ids + 1] - ends[ids]
+                total = np.append(0, np.cumsum(sizes))
+                raw = every[np.repeat(ends[ids] - total[:-1], sizes) + np.arange(total[-1])].tobytes()
+                texts.append(raw.decode("utf-8", "replace").replace(MARK, " ").removeprefix(" "))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
+                                             names=[*batch.schema.names, "text"])
+    return run
+
+
 def decode_documents(encoded: DataFrame, model_path: str, key: str = "doc_id",
-                     ids: str = "piece_ids") -> DataFrame:
-    """One row per identifier: its text, from pieces joined to the piece table."""
-    model = Model.load(model_path)
-    spark = encoded.sparkSession
-    table = F.broadcast(spark.createDataFrame(
-        [(i, bytearray(b)) for i, b in sorted(model.written().items())], "id int, bytes binary"))
-    one = encoded.select(F.col(key), F.posexplode_outer(ids).alias("_at", "_id"))
-    met = one.join(table, one["_id"] == table["id"], "left")
-    parts = met.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", F.hex("bytes").alias("x")))).alias("p"))
-    raw = F.unhex(F.array_join(F.transform("p", lambda x: F.coalesce(x["x"], F.lit(""))), ""))
-    shown = F.replace(F.decode(raw, "UTF-8"), F.lit(MARK), F.lit(" "))
-    return parts.select(key, F.regexp_replace(shown, "^ ", "").alias("text"))
+                     ids: str = "piece_ids", others: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row: its identifier, ``others``, its pieces, and its text as ``text``."""
+    columns = encoded.select(key, *others, ids)
+    schema = StructType([*columns.schema.fields, StructField("text", StringType())])
+    return columns.mapInArrow(_decode(Model.load(model_path), len(columns.columns) - 1), schema)

@@ -143,6 +143,16 @@ def test_sentence_pieces_equal_the_library(spark, docs, none):
     assert sentencepieces.encode_documents(none, PIECE_MODEL).count() == 0
 
 
+def test_decoding_keeps_rows_apart(spark):
+    texts = [(1, "one text"), (1, "one text"), (1, "another"), (None, "no identifier"), (None, "none\nat all é😀"),
+             (2, ""), (2, None)]
+    coded = sentencepieces.encode_documents(spark.createDataFrame(texts, "doc_id long, text string"), PIECE_MODEL)
+    back = [(r.doc_id, r.text) for r in sentencepieces.decode_documents(coded, PIECE_MODEL).collect()]
+    assert sorted(back, key=repr) == sorted(((k, t or "") for k, t in texts), key=repr)
+    odd = spark.createDataFrame([(1, [1 << 30, -1, None]), (2, None)], "doc_id long, piece_ids array<int>")
+    assert [r.text for r in sentencepieces.decode_documents(odd, PIECE_MODEL).collect()] == ["", ""]
+
+
 def test_viterbi_of_a_unigram_model(spark):
     pieces = [("▁", -2.0), ("a", -1.5), ("b", -1.6), ("ab", -2.0), ("ba", -1.9), ("▁a", -2.2), ("aba", -3.1)]
     model = sentencepieces.Model(sentencepieces.UNIGRAM, tuple((p, s, i) for i, (p, s) in enumerate(pieces)),
