@@ -5,7 +5,7 @@
 3. near         one document of each group of near copies stays (five-word
                 shingles, Jaccard similarity 0.8 or more)
 4. mix          each document is taken 0, 1 or 2 times, towards the source targets
-5. pieces       texts are encoded to SentencePiece identifiers
+5. pieces       texts are encoded to SentencePiece identifiers, and decoded to see that nothing is lost
 
 A stage takes (spark, docs, sf_dir); all but the last return the columns of
 ``documents``.
@@ -37,7 +37,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepieces.encode_documents(docs, PIECE_MODEL)
+    return sentencepieces.encode_and_decode(docs, PIECE_MODEL)
 
 
 STAGES = [("quality", quality_stage), ("exact", exact_stage), ("near", near_stage),

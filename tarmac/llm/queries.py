@@ -27,7 +27,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepieces.encode_documents(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return sentencepieces.encode_and_decode(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

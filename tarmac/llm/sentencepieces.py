@@ -15,6 +15,8 @@ word by word, and each distinct word once:
     encoder's answer; there the fold merges, step by step, the best-scored
     edge that joins exactly two neighbours, over the same lattice.
 4.  The words' pieces are joined back to the chunks and put into documents.
+5.  Every row is decoded again, and the SHA-256 of what comes out compared
+    with that of the source text, taken before the text was cut into words.
 
 The fold holds a word's boundaries in the bits of a long.  Words of over 62
 characters are merged by a heap instead, with the same result, in time
@@ -27,11 +29,13 @@ Defined cases: null or empty text has no pieces; bytes that are not UTF-8
 cannot occur in a string column; on decoding, ill-formed bytes become
 U+FFFD, identifiers outside the model are ignored, and control pieces and nulls are
 nothing; repeated rows are encoded alike; an empty table gives an empty
-result; other columns are not read.
+result; other columns are not read.  A text that holds the word mark itself
+decodes to spaces there: round_trip is false.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections.abc import Callable, Iterator
@@ -151,7 +155,8 @@ def word_pattern(model: Model) -> re.Pattern:
                       else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
-PACKED = "chunk long, doc_ids array<long>, sizes array<long>, words array<string>, places binary"
+PACKED = ("chunk long, doc_ids array<long>, sizes array<long>, digests array<binary>, "
+          "words array<string>, places binary")
 
 
 def _pack(pattern: re.Pattern) -> Callable:
@@ -161,9 +166,11 @@ def _pack(pattern: re.Pattern) -> Callable:
         for batch in batches:
             for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
                 numbers: dict[str, int] = {}
-                get, places, sizes = numbers.setdefault, [], []
-                for text in batch.column(1).slice(lo, hi - lo):
-                    words = words_of(text.as_py(), pattern)
+                get, places, sizes, digests = numbers.setdefault, [], [], []
+                for value in batch.column(1).slice(lo, hi - lo):
+                    text = value.as_py()
+                    words = words_of(text, pattern)
+                    digests.append(hashlib.sha256((text or "").encode("utf-8", "replace")).digest())
                     places.append(np.array([get(w, len(numbers)) for w in words], np.int32))
                     sizes.append(len(words))
                 # frequent words get small numbers, which compress better
@@ -179,7 +186,7 @@ def _pack(pattern: re.Pattern) -> Callable:
                 yield pa.RecordBatch.from_arrays([
                     pa.array([(part << 32) + number], pa.int64()),
                     row(batch.column(0).slice(lo, hi - lo).to_pylist(), pa.int64()), row(sizes, pa.int64()),
-                    row([words[i] for i in order], pa.string()),
+                    row(digests, pa.binary()), row([words[i] for i in order], pa.string()),
                     pa.array([squeeze.compress(planes.tobytes())], pa.binary())],
                     names=[f.split()[0] for f in PACKED.split(", ")])
                 number += 1
@@ -323,7 +330,7 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
 
 
 def _assemble(written: dict[int, bytes]) -> Callable:
-    """A chunk with its words' pieces -> per document the pieces, and whether they decode to it."""
+    """A chunk with its words' pieces -> per document the pieces, and whether each word's spell the word."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         places, sizes = _places(left["places"][0].as_py()), np.array(left["sizes"][0].as_py(), np.int64)
         at = right["place"].to_numpy()
@@ -349,28 +356,36 @@ def _assemble(written: dict[int, bytes]) -> Callable:
             "n_pieces": pa.array(np.diff(total[docs])),
             "piece_ids": pa.ListArray.from_arrays(pa.array(total[docs].astype(np.int32)),
                                                   pa.array(ids.astype(np.int32))),
-            "round_trip": pa.array(np.diff(bad[docs]) == 0)})
+            "round_trip": pa.array(np.diff(bad[docs]) == 0),
+            "digest": left["digests"].combine_chunks().flatten()})
     return run
 
 
-def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_pieces, piece_ids, and whether they decode to the text."""
+def _encode(docs: DataFrame, model_path: str, key: str, text: str) -> DataFrame:
+    """One row per document: doc_id, n_pieces, piece_ids, round_trip (of its words), digest of its text."""
     model = Model.load(model_path)
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     packed = materialise(plain.mapInArrow(_pack(word_pattern(model)), PACKED), "pieces-chunks")
     listed = packed.select(F.col("chunk").alias("of"), F.posexplode("words").alias("place", "w"))
     known = materialise(encode_words(listed.select(F.col("w").alias("word")).distinct(), model), "pieces-words")
     met = listed.join(known, listed["w"] == known["word"]).select("of", "place", "w", "ids")
-    whole = packed.select("chunk", "doc_ids", "sizes", "places")
+    whole = packed.select("chunk", "doc_ids", "sizes", "digests", "places")
     return whole.groupBy("chunk").cogroup(met.groupBy("of")).applyInArrow(
         _assemble(model.written()),
-        "doc_id long, n_pieces long, piece_ids array<int>, round_trip boolean")
+        "doc_id long, n_pieces long, piece_ids array<int>, round_trip boolean, digest binary")
+
+
+def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_pieces, piece_ids, and whether each word's pieces spell the word.
+
+    A word mark in the text counts as a space here; ``encode_and_decode`` compares whole texts.
+    """
+    return _encode(docs, model_path, key, text).drop("digest")
 
 
-def _decode(model: Model, at: int) -> Callable:
+def _decode(known: dict[int, bytes], at: int) -> Callable:
     """Batches with their texts added, from the pieces in column ``at``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = model.written()
         pieces = [known.get(i, b"") for i in range(max(known) + 1)]
         ends = np.append(0, np.cumsum([len(x) for x in pieces]))
         every = np.frombuffer(b"".join(pieces), np.uint8)
@@ -394,4 +409,11 @@ def decode_documents(encoded: DataFrame, model_path: str, key: str = "doc_id",
     """One row per row: its identifier, ``others``, its pieces, and its text as ``text``."""
     columns = encoded.select(key, *others, ids)
     schema = StructType([*columns.schema.fields, StructField("text", StringType())])
-    return columns.mapInArrow(_decode(Model.load(model_path), len(columns.columns) - 1), schema)
+    return columns.mapInArrow(_decode(Model.load(model_path).written(), len(columns.columns) - 1), schema)
+
+
+def encode_and_decode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_pieces, piece_ids, and whether decoding gives the text again."""
+    back = decode_documents(_encode(docs, model_path, key, text), model_path, others=("n_pieces", "digest"))
+    same = F.sha2(F.encode("text", "UTF-8"), 256) == F.lower(F.hex("digest"))
+    return back.select("doc_id", "n_pieces", "piece_ids", same.alias("round_trip"))

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from tarmac.llm import (chat, exact_dedup, jaccard_join, line_dedup, lm_scoring, mixing, pii, quality,
-                        recurrent, sentencepieces, sharding)
+                        queries, recurrent, sentencepieces, sharding)
 from tarmac.llm.components import connected_components
 from tarmac.llm.queries import PIECE_MODEL
 from tarmac.llm.signature_tree import SignatureTree, signature
@@ -153,6 +153,19 @@ def test_decoding_keeps_rows_apart(spark):
     assert [r.text for r in sentencepieces.decode_documents(odd, PIECE_MODEL).collect()] == ["", ""]
 
 
+def test_round_trip_is_told_by_decoding(spark, tmp_path, monkeypatch):
+    texts = ["plain text", " led by a space", "a ▁ mark", "▁", "", None, "é😀\n\t", "▁" * 70]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(path)
+    told = lambda: sorted((r.doc_id, r.round_trip) for r in queries.op3_sentence_pieces(spark, str(tmp_path)).collect())
+    assert told() == sorted((i % 3, "▁" not in (t or "")) for i, t in enumerate(texts))
+    # a fault of the decoder shows
+    whole = sentencepieces.Model.written
+    monkeypatch.setattr(sentencepieces.Model, "written", lambda self: {
+        i: b.replace("▁text".encode(), b"") for i, b in whole(self).items()})
+    assert told().count((0, False)) == 2
+
+
 def test_viterbi_of_a_unigram_model(spark):
     pieces = [("▁", -2.0), ("a", -1.5), ("b", -1.6), ("ab", -2.0), ("ba", -1.9), ("▁a", -2.2), ("aba", -3.1)]
     model = sentencepieces.Model(sentencepieces.UNIGRAM, tuple((p, s, i) for i, (p, s) in enumerate(pieces)),
