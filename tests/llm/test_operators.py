@@ -396,6 +396,35 @@ def test_fuzzy_lines_join_and_far_ones_do_not(spark):
     assert all(r.keep_doc % 100 == d % 100 for d, r in got.items())
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_fuzzy_lines_recall_against_brute_force(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    texts = []
+    for n in [3, 4, 5, 8, 10, 10, 15, 20, 20, 30] * 4:
+        line = [rng.choice(vocabulary) for _ in range(n)]
+        texts.append(" ".join(line))
+        line[rng.randrange(n)] = rng.choice(vocabulary)
+        texts.append(" ".join(line))
+        at = rng.randrange(len(texts[-2]))
+        texts.append(texts[-2][:at] + "#" + texts[-2][at + 1:])
+    got = {r.doc_id: r.keep_doc for r in line_dedup.line_groups(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    near = [(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i])
+            if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b))
+            and 5 * edit_distance(a, b) <= max(len(a), len(b))]
+    assert len(near) > 80 and sum(got[i] == got[j] for i, j in near) >= 0.95 * len(near)
+    assert all(i // 3 == k // 3 for i, k in got.items())
+
+
 @pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
 def test_jaccard_components(docs, none, width, percent):
     got = jaccard_join.jaccard_components(docs, width, percent).collect()
