@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, exact_dedup, jaccard_join, line_dedup, lm_scoring, mixing, pii, quality, sentencepieces, sharding
+from tarmac.llm import (alignment, chat, exact_dedup, jaccard_join, line_dedup, lm_scoring, mixing, phrases, pii, quality,
+                        sentencepieces, sharding, toxicity)
 from tarmac.llm.common import read_table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
 #: Where the public tokenizer models lie; a place for them is a parameter of the operator.
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+BYTE_MODEL = os.environ.get("BYTE_MODEL", "/opt/tokenizers/byte_bpe_50k.json")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +73,21 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.tag_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align_documents(read_table(spark, sf_dir, "documents"), BYTE_MODEL, PIECE_MODEL)
+    digest = F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("")
+    return found.select(F.col("key").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                        digest.alias("groups_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -82,4 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixing": op10_source_mixing,
+    "op11_toxic_spans": op11_toxic_spans,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }

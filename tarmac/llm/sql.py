@@ -30,7 +30,8 @@ FROM e GROUP BY conv_id
 OP9 = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws FROM documents),
+    'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws FROM documents),
 s AS (
   SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ')
     ELSE array_to_string(ws[i:i + 2], ' ') END AS g
@@ -49,8 +50,44 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.reach) AS comp
 FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
+# Phrases as lists of words; a list's text joined by spaces is unique, as words hold no space.
+OP12 = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, ws[i:i + k - 1] AS q
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS s(k)
+        WHERE len(ws) >= k)),
+f AS MATERIALIZED (SELECT lang, phrase, any_value(k) AS k, any_value(q) AS q, count(*) AS c FROM g GROUP BY lang, phrase),
+n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT * FROM f WHERE k > 1 AND c >= 30),
+cut AS (
+  SELECT lang, phrase, k, a, l, r, j, CAST((2000000::HUGEINT * a) // (l + r) AS BIGINT) AS score
+  FROM (SELECT lang, phrase, k, c AS a, unnest(range(1, k)) AS j,
+          unnest([array_to_string(q[1:x], ' ') FOR x IN range(1, k)]) AS first,
+          unnest([array_to_string(q[x + 1:k], ' ') FOR x IN range(1, k)]) AS rest FROM c) c
+  JOIN (SELECT lang || chr(31) || phrase AS at, c AS l FROM f) x ON x.at = c.lang || chr(31) || first
+  JOIN (SELECT lang || chr(31) || phrase AS at, c AS r FROM f) y ON y.at = c.lang || chr(31) || rest),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM cut) WHERE o = 1),
+inside AS (
+  SELECT lang, array_to_string(q[i:i + s - 1], ' ') AS phrase, max(c) AS around
+  FROM (SELECT *, unnest(range(1, k - s + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS s FROM c))
+  GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE i.around IS NULL OR 100 * i.around < 80 * b.a)
+SELECT * FROM (
+  SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, encode(k.phrase)) AS rank,
+    k.phrase, a, l, r, n.n, score FROM kept k JOIN n ON n.lang = k.lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": OP1,
     "op5_chat_formatting": OP5,
     "op9_jaccard_join": OP9,
+    "op12_phrase_collocations": OP12,
 }
