@@ -20,8 +20,8 @@ A phrase is frequent at ``least`` occurrences.
 Tasks know the admitted phrases by a Bloom filter of fixed size, so what is
 broadcast does not grow with the corpus.  A false positive costs a counted
 phrase too many and changes nothing: the filter decides what is counted, the
-counts decide what is frequent, and a later pass leaves out just what the
-earlier filters admitted.
+counts decide what is frequent, and the expansion passes leave out just what
+the filter of the first one admitted, and what is known to be frequent.
 
 Cutting a phrase after its first k words gives score floor(2000000 a / (l + r));
 the least over k counts (the smaller k among equals).  A candidate is dropped
@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.llm.common import bound_batches, materialise, text_of
 from tarmac.llm.words import chunks, hash_words, mix
@@ -100,17 +101,20 @@ def phrase_hashes(words: list[np.ndarray], lang: str) -> np.ndarray:
 
 
 def count_phrases(texts: list[str | None], lang: str, sizes: range, admitted: Filter | None,
-                  earlier: list[Filter], everything: bool) -> Iterator[tuple[list[str], int, np.ndarray]]:
+                  earlier: Filter | None, everything: bool, fresh: Filter | None = None) -> Iterator[tuple[list[str], int, np.ndarray]]:
     """Phrases of some texts of one language, their number of words, and their counts.
 
     A phrase of one word is always admitted, a longer one if ``admitted`` holds
     the parts without its last and its first word (``everything``: always).
-    Left out is what one of ``earlier`` admits.  Phrases are told apart exactly.
+    Left out is what ``earlier`` admits.  Phrases are told apart exactly.
+    With ``fresh``, only the words are read that lie near a phrase it holds.
     """
     ids, words = number_pieces(texts)
     if not len(words):
         return
     hashes = mix(hash_words(words))
+    if fresh is not None:
+        ids = np.where(near_phrases(ids, hashes, lang, sizes[-1], fresh), ids, -1)
     place = np.flatnonzero(ids >= 0)            # where phrases of the current size begin
     code = ids[place]                           # their numbers; each number is one phrase
     spell = np.arange(len(words))[:, None]      # the words of each number
@@ -133,11 +137,8 @@ def count_phrases(texts: list[str | None], lang: str, sizes: range, admitted: Fi
             out = np.ones(len(spell), bool)
             if size > 1 and not everything:
                 out = _admits(admitted, parts, lang)
-            for f in earlier:
-                if size == 1:
-                    out[:] = False
-                elif out.any():
-                    out[out] &= ~_admits(f, [p[out] for p in parts], lang)
+            if earlier is not None and size > 1 and out.any():
+                out[out] = ~_admits(earlier, [p[out] for p in parts], lang)
             told = np.flatnonzero(out)
             if len(told):
                 rows = [[words[i] for i in column] for column in spell[told].T]
@@ -151,6 +152,24 @@ def count_phrases(texts: list[str | None], lang: str, sizes: range, admitted: Fi
             code, spell = renumber[code], spell[held]
 
 
+def near_phrases(ids: np.ndarray, hashes: np.ndarray, lang: str, longest: int, fresh: Filter) -> np.ndarray:
+    """Which words a phrase of up to ``longest`` words can reach that has a shorter one of ``fresh`` in it."""
+    n = len(ids)
+    reach = np.zeros(n + 1, np.int64)
+    spoken = hashes[np.maximum(ids, 0)]
+    inside = ids >= 0
+    h = phrase_hashes([spoken], lang)
+    for size in range(1, longest):
+        if size > 1:
+            inside = inside[:-1] & (ids[size - 1:] >= 0)
+            h = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + spoken[size - 1:])
+        at = np.flatnonzero(inside)
+        at = at[fresh.holds(h[at])]
+        np.add.at(reach, np.maximum(at - (longest - size), 0), 1)
+        np.add.at(reach, np.minimum(at + longest, n), -1)
+    return np.cumsum(reach)[:n] > 0
+
+
 def _admits(f: Filter, parts: list[np.ndarray], lang: str) -> np.ndarray:
     out = f.holds(phrase_hashes(parts[:-1], lang))
     if out.any():
@@ -158,10 +177,11 @@ def _admits(f: Filter, parts: list[np.ndarray], lang: str) -> np.ndarray:
     return out
 
 
-def _counted(sizes: range, admitted, earlier: list, everything: bool) -> Callable:
+def _counted(sizes: range, admitted, earlier, everything: bool, fresh) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = Filter(admitted.value) if admitted is not None else None
-        before = [Filter(f.value) for f in earlier]
+        before = Filter(earlier.value) if earlier is not None else None
+        only = Filter(fresh.value) if fresh is not None else None
         for batch in batches:
             for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
                 langs = batch.column(0).slice(lo, hi - lo).to_pylist()
@@ -170,7 +190,7 @@ def _counted(sizes: range, admitted, earlier: list, everything: bool) -> Callabl
                 for lang, text in zip(langs, texts):
                     of.setdefault(lang, []).append(text)
                 for lang, own in of.items():
-                    for phrases, size, n in count_phrases(own, lang, sizes, now, before, everything):
+                    for phrases, size, n in count_phrases(own, lang, sizes, now, before, everything, only):
                         for k in range(0, len(phrases), 100_000):
                             part = phrases[k:k + 100_000]
                             yield pa.RecordBatch.from_arrays([
@@ -181,9 +201,9 @@ def _counted(sizes: range, admitted, earlier: list, everything: bool) -> Callabl
     return run
 
 
-def _count(texts: DataFrame, sizes: range, admitted=None, earlier: list | None = None,
-           everything: bool = False) -> DataFrame:
-    found = texts.mapInArrow(_counted(sizes, admitted, earlier or [], everything), COUNTED)
+def _count(texts: DataFrame, sizes: range, admitted=None, earlier=None,
+           everything: bool = False, fresh=None) -> DataFrame:
+    found = texts.mapInArrow(_counted(sizes, admitted, earlier, everything, fresh), COUNTED)
     return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
 
 
@@ -239,9 +259,11 @@ def frequent_phrases(docs: DataFrame, text: str = "text", stratum: str = "lang",
     """All phrases of ``least`` occurrences or more (lang, phrase, words, n), and all words' number by lang."""
     spark = docs.sparkSession
     bound_batches(spark)
+    # copies of a text are drawn one by one, if other columns tell them apart
+    hashable = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
     texts = docs.select(F.coalesce(F.col(stratum).cast("string"), F.lit("und")).alias("lang"),
-                        text_of(text).alias("text"))
-    texts = texts.withColumn("row_hash", F.pmod(F.xxhash64("text", "lang"), F.lit(1_000_000_007)))
+                        text_of(text).alias("text"),
+                        F.pmod(F.xxhash64(*hashable), F.lit(1_000_000_007)).alias("row_hash"))
     proposed = propose(spark, texts, least, share, longest)
     texts = texts.select("lang", "text")
     admitted = make_filter(spark, proposed)
@@ -250,14 +272,14 @@ def frequent_phrases(docs: DataFrame, text: str = "text", stratum: str = "lang",
     found = materialise(counted.filter(F.col("n") >= least), "phrases-frequent")
     # failures of the border: frequent, not proposed, and with room for a longer phrase around them
     failures = found.filter(F.col("words") < longest).join(proposed, ["lang", "phrase"], "left_anti")
-    earlier = [admitted]
     while not failures.isEmpty():
-        now = make_filter(spark, found)
-        more = materialise(_count(texts, range(2, longest + 1), now, earlier).filter(F.col("n") >= least),
-                           "phrases-expansion")
+        now, fresh = make_filter(spark, found), make_filter(spark, failures)
+        # a phrase not counted yet has a failure in it
+        more = _count(texts, range(2, longest + 1), now, admitted, fresh=fresh).filter(F.col("n") >= least)
+        more = materialise(more.join(found.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+                           .select(*found.columns), "phrases-expansion")
         found = materialise(found.unionByName(more), "phrases-frequent")
         failures = more.filter(F.col("words") < longest)
-        earlier.append(now)
     return found, totals
 
 

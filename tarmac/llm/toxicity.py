@@ -30,7 +30,6 @@ alike; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -198,11 +197,15 @@ def score_texts(texts: list[str], model: tuple[Field, np.ndarray] | None,
 def _scored(model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
+        fitted = None
+        if model.value is not None:
+            weights, rest = np.frombuffer(model.value[0]), np.array(model.value[1])
+            fitted = Field(weights, rest[:4].reshape(2, 2), rest[4:6]), rest[6:]
         for batch in batches:
             for lo, hi in chunks(batch.column(2), CHUNK_BYTES):
                 rows = batch.slice(lo, hi - lo)
                 texts = [t or "" for t in rows.column(2).to_pylist()]
-                score, spans = score_texts(texts, model.value, known)
+                score, spans = score_texts(texts, fitted, known)
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
                                            ("probability", pa.float64())]))
                 yield pa.RecordBatch.from_arrays(
@@ -224,11 +227,16 @@ def tag_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     def fitted(rows: pd.DataFrame) -> pd.DataFrame:
         model = fit_model(rows["text"].tolist(), rows["toxic"].to_numpy(), odds)
-        return pd.DataFrame({"model": [pickle.dumps(model)]})
+        if model is None:
+            return pd.DataFrame({"weights": [], "rest": []}, dtype=object)
+        field, b = model
+        return pd.DataFrame({"weights": [field.weights.tobytes()],
+                             "rest": [[*field.trans.ravel(), *field.start, *b]]})
 
     # one task: the sample and the model are of bounded size
-    row = sample.groupBy(F.lit(0)).applyInPandas(fitted, "model binary").first()
-    model = spark.sparkContext.broadcast(pickle.loads(row[0]) if row else None)
+    row = sample.withColumn("all", F.lit("all")).groupBy("all").applyInPandas(
+        fitted, "weights binary, rest array<double>").first()
+    model = spark.sparkContext.broadcast((bytes(row["weights"]), list(row["rest"])) if row else None)
     source = docs.select(F.col(key).alias("doc_id"), held_out(F.col(key)).alias("held_out"),
                          F.col(text).alias("text"))
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType),
