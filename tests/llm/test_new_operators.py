@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.llm import alignment, chain_field, phrases, queries, toxicity
+from tarmac.llm import alignment, chain_field, line_dedup, phrases, queries, toxicity
 from tarmac.llm.chain_field import Layout
 from tests.conftest import SF_SMALL
 from tests.llm.test_operators import ROWS, SCHEMA
@@ -249,3 +249,21 @@ def test_alignment_query_and_arrays(spark, docs, none):
     one = spark.createDataFrame([("7,8|9;1|2,3",), ("",)], "g string").select(
         alignment.group_arrays(F.col("g")).alias("x")).collect()
     assert [[(p.a, p.b) for p in r.x] for r in one] == [[([7, 8], [9]), ([1], [2, 3])], []]
+
+
+# --- line dedup keeps what occurs once -------------------------------------------------
+
+def test_rows_that_share_an_identifier_keep_their_own_lines(spark):
+    rows = [(None, "first text line here\nshared line of words", "p"),
+            (None, "shared line of words\nanother thing only here", "q"),
+            (7, "alpha beta gamma delta\nshared line of words", "r"), (7, "unique at the second row", "s"),
+            (9, None, "t"), (9, "", "u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _lost_id string")
+    got = Counter((r.doc_id, r.text, r._lost_id) for r in line_dedup.drop_repeated_lines(df).collect())
+    texts = {r[2]: r[1] for r in got}
+    assert {r[2]: r[0] for r in got} == {r[2]: r[0] for r in rows} and sum(got.values()) == len(rows)
+    lines = Counter(x for t in texts.values() for x in (t or "").split("\n") if x)
+    assert lines == Counter({x: 1 for r in rows for x in (r[1] or "").split("\n") if x})
+    assert texts["r"] == "alpha beta gamma delta" and texts["t"] is None and texts["u"] == ""
+    named = spark.createDataFrame([("b", "x y z w"), ("a", "x y z w")], "doc_id string, text string")
+    assert {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(named).collect()} == {"a": "x y z w", "b": ""}
