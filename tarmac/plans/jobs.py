@@ -9,7 +9,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tarmac.plans.base import COVERED, answer_from_base, base_aggregate
 from tarmac.plans.questions import QUESTIONS, answer, ranking
 from tarmac.schema import result_key
 from tarmac.sinks.tables import write_flights, write_result
@@ -30,19 +32,39 @@ def ingest_archives(spark: SparkSession, zip_root: str, out_path: str) -> DataFr
     return read_flights(spark, out_path).drop("year")
 
 
-def run_question(flights: DataFrame, name: str, out_dir: str, trip_offset_days: int = 2) -> str:
-    """Compute one question and store its keyed result table (and its ranking, if any)."""
+def _store(spark: SparkSession, result: DataFrame, name: str, out_dir: str) -> str:
     q = QUESTIONS[name]
-    result = answer(flights, name, trip_offset_days=trip_offset_days)
     path = f"{out_dir.rstrip('/')}/{name}"
     write_result(result, path, result_key(name), q.sort_by)
     if q.sort_by is not None:
-        stored = flights.sparkSession.read.parquet(path)
-        write_result(ranking(stored, name), f"{path}_top", q.rank_within or result_key(name),
+        write_result(ranking(spark.read.parquet(path), name), f"{path}_top", q.rank_within or result_key(name),
                      q.sort_by)
     return path
 
 
+def run_question(flights: DataFrame, name: str, out_dir: str, trip_offset_days: int = 2,
+                 year: int | None = None) -> str:
+    """Compute one question and store its keyed result table (and its ranking, if any).
+
+    ``year`` reads that year's flights only; on the curated table the others'
+    directories are skipped, if ``flights`` has its ``year`` column.
+    """
+    if year is not None:
+        flights = flights.filter((F.col("year") if "year" in flights.columns else F.year("flight_date")) == year)
+    return _store(flights.sparkSession, answer(flights, name, trip_offset_days=trip_offset_days), name, out_dir)
+
+
 def run_batch(flights: DataFrame, out_dir: str, questions: list[str] | None = None) -> dict:
-    """Every question (or the listed ones); returns name -> table path."""
-    return {n: run_question(flights, n, out_dir) for n in (questions or list(QUESTIONS))}
+    """Every question (or the listed ones); returns name -> table path.
+
+    q1.1 to q2.4 come from one base aggregate, stored beside the results, so the
+    flights are read once for all of them (and once for the trips).
+    """
+    names, spark = list(questions or QUESTIONS), flights.sparkSession
+    base = None
+    if len([n for n in names if n in COVERED]) > 1:
+        path = f"{out_dir.rstrip('/')}/base"
+        base_aggregate(flights).write.mode("overwrite").parquet(path)
+        base = spark.read.parquet(path)
+    return {n: _store(spark, answer_from_base(base, n), n, out_dir) if base is not None and n in COVERED
+            else run_question(flights, n, out_dir) for n in names}

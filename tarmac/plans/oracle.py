@@ -125,15 +125,25 @@ def where(sql: str, cond: str) -> str:
     return f"SELECT * FROM ({sql}) q WHERE {cond}"
 
 
-def late_legs_sql(slices: int = 7, seed: int = 7) -> str:
-    """Best legs of the years that are later than all years staged before them."""
+def years_ahead_sql(slices: int = 7, seed: int = 7) -> str:
+    """The years that are later than all years staged before them in a shuffled replay."""
     order = list(range(slices))
     random.Random(seed).shuffle(order)
     ahead = [y for i, y in enumerate(order) if y == max(order[:i + 1])]
-    years = ("SELECT y FROM (SELECT y, row_number() OVER (ORDER BY y) - 1 AS i FROM "
-             "(SELECT DISTINCT year(l_shipdate) AS y FROM lineitem)) "
-             f"WHERE i IN ({', '.join(map(str, ahead))})")
-    return where(BEST_LEGS, f"year(flight_date) IN ({years})")
+    return ("SELECT y FROM (SELECT y, row_number() OVER (ORDER BY y) - 1 AS i FROM "
+            "(SELECT DISTINCT year(l_shipdate) AS y FROM lineitem)) "
+            f"WHERE i IN ({', '.join(map(str, ahead))})")
+
+
+def late_legs_sql() -> str:
+    """Best legs of the years that are not late."""
+    return where(BEST_LEGS, f"year(flight_date) IN ({years_ahead_sql()})")
+
+
+def late_flights_sql() -> str:
+    """Flights of the years that are late, by year."""
+    return (_with() + "SELECT CAST(year(flight_date) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS late_flights "
+            f"FROM flights WHERE year(flight_date) NOT IN ({years_ahead_sql()}) GROUP BY year(flight_date)")
 
 
 CURATE_REQUIRED = (_with() + "SELECT origin, dest, unique_carrier, arr_delay FROM flights WHERE "

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.plans import oracle, source_queries, stream_queries
+from tarmac.plans.base import answers, base_aggregate
 from tarmac.plans.questions import answer, ranking
 from tarmac.operators.trips import best_legs
 from tarmac.session import apply_runtime_conf
@@ -54,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "best_leg_per_day_period": lambda spark, sf_dir: best_legs(flights(spark, sf_dir)),
     "trip_offset_days_1": _trips(1),
     "trip_offset_days_3": _trips(3),
+    "batch_all_questions": lambda spark, sf_dir: answers(base_aggregate(flights(spark, sf_dir))),
     **source_queries.QUERIES,
     **stream_queries.QUERIES,
 }
@@ -114,4 +116,7 @@ ORACLE: dict[str, str] = {
     "stream_q3_two_leg_trips": oracle.Q3,
     "stream_late_data": oracle.late_legs_sql(),
     "stream_undated": oracle.Q11,
+    "stream_late_flights": oracle.late_flights_sql(),
+    "stream_clean_files": oracle.Q22,
+    "batch_all_questions": oracle.long_sql(),
 }

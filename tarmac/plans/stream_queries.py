@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.schema import result_key
-from tarmac.session import apply_runtime_conf
+from tarmac.session import apply_runtime_conf, scratch_dir
 from tarmac.sources.curated import curated_flights
-from tarmac.streaming import runner
+from tarmac.sources.raw import write_clean_text
+from tarmac.streaming import folder, runner
+from tarmac.streaming.pace import Pace
+
 
 def _fl(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_runtime_conf(spark)
@@ -43,6 +46,28 @@ def undated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runner.run_question(spark, fl, "q1.1", "update")
 
 
+def late_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year slices in shuffled order: the flights behind the watermark, counted by year from the side table."""
+    _, late, _ = runner.run_late_flights(spark, _fl(spark, sf_dir), slice_by="year")
+    return late.groupBy(F.year("flight_date").alias("year")).agg(F.count(F.lit(1)).alias("late_flights"))
+
+
+def clean_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q2.2 over a folder of ';' files that is added to while the stream runs, stopped and started again."""
+    flights, run = _fl(spark, sf_dir), scratch_dir(spark, "stream-folder")
+    lots = [flights.filter(F.coalesce(F.pmod(F.year("flight_date"), F.lit(3)) == k, F.lit(k == 0)))
+            for k in range(3)]
+    start = lambda pace: folder.start_question(spark, f"{run}/files/*", "q2.2", f"{run}/job", pace=pace)
+    write_clean_text(lots[0], f"{run}/files/a")
+    job = start(Pace(interval="1 second", max_files=8))
+    job.wait()
+    write_clean_text(lots[1], f"{run}/files/b")
+    job.wait()
+    job.stop()
+    write_clean_text(lots[2], f"{run}/files/c")
+    return start(Pace(available_now=True, max_files=8)).wait()
+
+
 LONG_COLUMNS = ["question", "key1", "key2", "key3", "delay", "n_flights"]
 
 
@@ -81,6 +106,8 @@ QUERIES = {
     "stream_q3_two_leg_trips": trips_stream,
     "stream_late_data": late_data,
     "stream_undated": undated,
+    "stream_late_flights": late_flights,
+    "stream_clean_files": clean_files,
 }
 
 NO_ORACLE: set[str] = set()

@@ -70,11 +70,15 @@ def curate_raw(raw: DataFrame) -> DataFrame:
     return _typed(raw, RAW_TO_FLIGHTS)
 
 
+def parse_clean(lines: DataFrame) -> DataFrame:
+    """Text lines (``value``), of a table or a stream, into the 9 text columns."""
+    parts = F.split(F.col("value"), ";", len(CLEAN_COLUMNS))
+    return lines.select(*[F.get(parts, i).alias(c) for i, c in enumerate(CLEAN_COLUMNS)])
+
+
 def read_clean(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Scan ';'-separated clean files into the 9 text columns."""
-    parts = F.split(F.col("value"), ";", len(CLEAN_COLUMNS))
-    return spark.read.text(paths).select(
-        *[F.get(parts, i).alias(c) for i, c in enumerate(CLEAN_COLUMNS)])
+    return parse_clean(spark.read.text(paths))
 
 
 def curate_clean(clean: DataFrame) -> DataFrame:

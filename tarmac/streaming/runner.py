@@ -10,42 +10,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac.operators.aggregate import merge_means, partial_means
-from tarmac.plans.questions import QUESTIONS, question_input
+from tarmac.plans import base
 from tarmac.schema import result_key
 from tarmac.session import scratch_dir
-from tarmac.streaming import sinks
-from tarmac.streaming.questions import (DEFAULT_WATERMARK, best_legs_stream, data_rows,
+from tarmac.streaming import late, sinks
+from tarmac.streaming.folder import all_questions_sink
+from tarmac.streaming.pace import AS_IT_COMES, Pace
+from tarmac.streaming.progress import Progress
+from tarmac.streaming.questions import (DEFAULT_WATERMARK, best_legs_stream,
                                         question_stream, trips_stream)
 from tarmac.streaming.source import Replay, read_stream
 
 
-def _get(obj, name: str):
-    return obj.get(name) if isinstance(obj, dict) else getattr(obj, name, None)
-
-
-class _Progress:
-    """Progress counters of a query, collected per batch id (no batch counted twice)."""
-
-    def __init__(self):
-        self.by_batch: dict[int, object] = {}
-
-    def collect(self, q: StreamingQuery) -> None:
-        for p in q.recentProgress:
-            self.by_batch[int(_get(p, "batchId"))] = p
-
-    def totals(self) -> dict:
-        out = {"batches": len(self.by_batch), "input_rows": 0, "rows_dropped_by_watermark": 0}
-        for p in self.by_batch.values():
-            out["input_rows"] += int(_get(p, "numInputRows") or 0)
-            for op in _get(p, "stateOperators") or []:
-                out["rows_dropped_by_watermark"] += int(_get(op, "numRowsDroppedByWatermark") or 0)
-        return out
-
-
 def _drive(replay: Replay, start: Callable[[], StreamingQuery], sentinel: bool) -> dict:
     """Feed the slices one by one to a running query; return summed progress counters."""
     if replay.keys:
@@ -53,7 +31,7 @@ def _drive(replay: Replay, start: Callable[[], StreamingQuery], sentinel: bool)
     else:
         replay.write_empty()
     q = start()
-    progress = _Progress()
+    progress = Progress()
     try:
         for key in replay.keys[1:]:
             q.processAllAvailable()
@@ -76,7 +54,7 @@ def _drive(replay: Replay, start: Callable[[], StreamingQuery], sentinel: bool)
 
 def run_question(spark: SparkSession, flights: DataFrame, name: str, mode: str = "update",
                  slice_by: str = "year", run_dir: str | None = None,
-                 resume: bool = False) -> DataFrame:
+                 resume: bool = False, pace: Pace = AS_IT_COMES) -> DataFrame:
     """Stream q1.1 ... q2.4 over ``flights``; returns the final sink table."""
     if mode not in ("update", "complete"):
         raise ValueError(mode)
@@ -95,9 +73,9 @@ def run_question(spark: SparkSession, flights: DataFrame, name: str, mode: str =
             batch.unpersist()
 
     def start() -> StreamingQuery:
-        out = question_stream(read_stream(spark, replay.stage_dir), name)
-        return (out.writeStream.outputMode(mode).foreachBatch(sink)
-                .option("checkpointLocation", f"{run_dir}/checkpoint").start())
+        out = question_stream(read_stream(spark, replay.stage_dir, pace), name)
+        return pace.writer(out.writeStream.outputMode(mode).foreachBatch(sink)
+                           .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
 
     _drive(replay, start, sentinel=False)
     return sinks.read_table(spark, table)
@@ -150,58 +128,44 @@ def run_late_data(spark: SparkSession, flights: DataFrame, slice_by: str = "year
     return legs
 
 
-# --- several questions from one scan (one micro-batch feeds every table) -------------
+def run_late_flights(spark: SparkSession, flights: DataFrame, slice_by: str = "year",
+                     watermark: str = DEFAULT_WATERMARK, run_dir: str | None = None,
+                     pace: Pace = AS_IT_COMES) -> tuple[DataFrame, DataFrame, dict]:
+    """Slices out of date order, late flights routed aside: best legs, the late flights, and counts.
 
-SHARED = ["q1.1", "q1.2", "q1.3", "q2.1", "q2.2", "q2.3", "q2.4"]
-
-
-def _partial(batch: DataFrame, name: str) -> DataFrame:
-    """Mergeable partial state of one question for one micro-batch."""
-    q = QUESTIONS[name]
-    inp = question_input(batch, name)
-    if name == "q1.1":
-        return (inp.select(F.explode(F.array("origin", "dest")).alias("airport"))
-                .groupBy("airport").agg(F.count(F.lit(1)).alias("cnt")))
-    return partial_means(inp, q.keys, q.measure)
+    The counts are of flights, over all micro-batches: ``flights``, ``late``, ``undated``.
+    """
+    run_dir = run_dir or scratch_dir(spark, "stream-late-flights")
+    replay = Replay(flights, f"{run_dir}/stage", slice_by, shuffled=True)
+    routed = f"{run_dir}/route"
+    _drive(replay, lambda: late.start_routing(spark, read_stream(spark, replay.stage_dir), routed, watermark),
+           sentinel=True)
+    # all on-time flights are there, the sentinels among them: one run to the end closes every day
+    ends = Pace(available_now=True, max_files=pace.max_files, max_bytes=pace.max_bytes)
+    legs = best_legs_stream(late.on_time_stream(spark, routed, ends), watermark)
+    query = ends.writer(legs.writeStream.outputMode("append").format("parquet").option("path", f"{run_dir}/table")
+                        .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
+    query.awaitTermination()
+    table = spark.read.schema(legs.schema).parquet(f"{run_dir}/table")
+    return table, late.late_flights(spark, routed), late.counts(spark, routed)
 
 
 def run_all_questions(spark: SparkSession, flights: DataFrame, slice_by: str = "year",
-                      run_dir: str | None = None, resume: bool = False
-                      ) -> dict[str, DataFrame]:
+                      run_dir: str | None = None, resume: bool = False, mode: str = "update",
+                      pace: Pace = AS_IT_COMES) -> dict[str, DataFrame]:
     """Seven questions from one streaming scan; returns the final table of each.
 
-    Each micro-batch is persisted once and folded into seven state tables
-    of (sum, count) / count per key; the final tables are the merged means.
+    Each micro-batch is one base aggregate, merged into one state table;
+    ``update`` publishes the answers after each of them, ``complete`` at the end.
     """
     run_dir = run_dir or scratch_dir(spark, "stream-all")
     replay = Replay(flights, f"{run_dir}/stage", slice_by, resume=resume)
-    state = {n: f"{run_dir}/state-{n.replace('.', '_')}" for n in SHARED}
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = data_rows(batch).persist()
-        try:
-            for n in SHARED:
-                keys = result_key(n)
-                part = _partial(rows, n)
-                prior = [v for v in sinks.versions(spark, state[n]) if v < batch_id]
-                if prior:
-                    old = spark.read.parquet(f"{state[n]}/v={prior[-1]}")
-                    part = old.unionByName(part)
-                sums = ([F.sum("cnt").alias("cnt")] if n == "q1.1" else
-                        [F.sum("sum_delay").alias("sum_delay"),
-                         F.sum("n_flights").alias("n_flights")])
-                part.groupBy(*keys).agg(*sums).write.mode("overwrite").parquet(
-                    f"{state[n]}/v={batch_id}")
-        finally:
-            rows.unpersist()
 
     def start() -> StreamingQuery:
-        return (read_stream(spark, replay.stage_dir).writeStream.foreachBatch(sink)
-                .option("checkpointLocation", f"{run_dir}/checkpoint").start())
+        stream = read_stream(spark, replay.stage_dir, pace)
+        return pace.writer(stream.writeStream.foreachBatch(all_questions_sink(run_dir, mode))
+                           .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
 
     _drive(replay, start, sentinel=False)
-    out = {}
-    for n in SHARED:
-        t = sinks.read_table(spark, state[n])
-        out[n] = t if n == "q1.1" else merge_means(t, result_key(n))
-    return out
+    state = sinks.read_table(spark, f"{run_dir}/state")
+    return {n: base.answer_from_base(state, n) for n in base.COVERED}

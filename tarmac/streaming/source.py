@@ -1,6 +1,7 @@
 """Streaming input: flights as a file stream with an event time.
 
-``event_time`` is flight_date + scheduled departure (UTC).  ``Replay``
+A stream reads a folder of clean or raw files, or the slices of a replay.
+The event time ``ts`` is flight_date + scheduled departure (UTC).  ``Replay``
 stages a bounded flight table as a sequence of slices (one Spark write
 per slice, so files of later slices are newer) that a running query
 picks up one after the other, and ends with a sentinel row far in the
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.columns import minute_of_day
-from tarmac.schema import FLIGHTS, FLIGHT_COLUMNS
+from tarmac.schema import FLIGHTS, FLIGHT_COLUMNS, RAW, RAW_COLUMNS
+from tarmac.sources.raw import CSV_OPTIONS, curate_clean, curate_raw, is_header, parse_clean
+from tarmac.streaming.pace import AS_IT_COMES, Pace
 
 STREAM_SCHEMA = T.StructType(FLIGHTS.fields + [
     T.StructField("ts", T.TimestampType(), True),
@@ -36,12 +39,47 @@ def with_event_time(flights: DataFrame) -> DataFrame:
         "ts", F.timestamp_add("MINUTE", m, F.col("flight_date").cast("timestamp")))
 
 
-def read_stream(spark: SparkSession, stage_dir: str, max_files_per_trigger: int | None = None
-                ) -> DataFrame:
+def read_stream(spark: SparkSession, stage_dir: str, pace: Pace = AS_IT_COMES) -> DataFrame:
+    """The slices of a ``Replay`` as a stream."""
     reader = spark.readStream.schema(STREAM_SCHEMA).format("parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(f"{stage_dir}/*/*.parquet")
+    return pace.reader(reader).load(f"{stage_dir}/*/*.parquet")
+
+
+def _flights(stream: DataFrame) -> DataFrame:
+    return with_event_time(stream).withColumn("slice", F.lit(None).cast("string"))
+
+
+def _done_with(reader, archive_dir: str | None, delete: bool):
+    if archive_dir and delete:
+        raise ValueError("files that are done with are archived or deleted, not both")
+    if archive_dir:
+        return reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader.option("cleanSource", "delete") if delete else reader
+
+
+def read_clean_stream(spark: SparkSession, folder: str, pace: Pace = AS_IT_COMES, path_glob: str | None = None,
+                      archive_dir: str | None = None, delete: bool = False) -> DataFrame:
+    """A folder of ';' files, plain or gzip, as a stream of flights with event time.
+
+    Files that come while the stream runs are read once each, oldest first;
+    a file must be moved into the folder whole.  The query's checkpoint knows
+    which files were read, so a stopped stream goes on where it was.  Files
+    that are done with are moved below ``archive_dir`` or deleted, if asked.
+    """
+    reader = pace.reader(_done_with(spark.readStream.format("text"), archive_dir, delete))
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    return _flights(curate_clean(parse_clean(reader.load(folder))))
+
+
+def read_raw_stream(spark: SparkSession, folder: str, pace: Pace = AS_IT_COMES, path_glob: str | None = None,
+                    archive_dir: str | None = None, delete: bool = False) -> DataFrame:
+    """A folder of raw on-time CSV files as a stream of flights with event time; else as ``read_clean_stream``."""
+    reader = spark.readStream.schema(RAW).option("header", False).options(**CSV_OPTIONS)
+    reader = pace.reader(_done_with(reader, archive_dir, delete))
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    return _flights(curate_raw(reader.csv(folder).filter(~is_header(F.col(RAW_COLUMNS[0])))))
 
 
 class Replay:

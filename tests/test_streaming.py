@@ -1,12 +1,19 @@
 """Streaming questions: final stream tables equal batch tables; late data is counted."""
 
+import glob
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.operators.trips import best_legs
 from tarmac.plans import oracle
+from tarmac.plans.base import answers, base_aggregate
 from tarmac.plans.questions import answer
 from tarmac.sources.curated import curated_flights
-from tarmac.streaming import runner, sinks
+from tarmac.sources.raw import write_clean_text, write_raw_csv
+from tarmac.streaming import folder, runner, sinks
+from tarmac.streaming.pace import Pace
 from tests.conftest import SF_SMALL, duck_rows, rows
 
 
@@ -33,7 +40,7 @@ def test_stream_popularity_equals_batch(spark, flights):
 
 def test_shared_scan_equals_separate_questions(spark, flights):
     tables = runner.run_all_questions(spark, flights)
-    for name in ("q1.1", "q1.3", "q2.3"):
+    for name in tables:
         assert _same(tables[name], answer(flights, name))
 
 
@@ -81,3 +88,108 @@ def test_upsert_is_idempotent_per_batch(spark, tmp_path):
     sinks.upsert(b1, 1, table, ["k"])  # replayed batch
     got = {r.k: r.v for r in sinks.read_table(spark, table).collect()}
     assert got == {"A": 1.0, "B": 5.0, "C": 3.0}
+
+
+# --- sinks that live long --------------------------------------------------------------
+
+def test_a_table_stays_small_over_many_batches(spark, tmp_path):
+    """Many batches of few keys: bounded manifests and versions, the latest row of every key."""
+    table, want = str(tmp_path / "t"), {}
+    for i in range(12):
+        rows = [(f"k{(i * 7 + j) % 40}", i) for j in range(2)]
+        want.update(rows)
+        sinks.upsert(spark.createDataFrame(rows, "k string, v long").coalesce(1), i, table, ["k"], buckets=4)
+    assert {r.k: r.v for r in sinks.read_table(spark, table).collect()} == want
+    assert sinks.versions(spark, table) == [10, 11]
+    assert len(os.listdir(f"{table}/data")) <= 4 + 2
+    # of a replayed batch only its own buckets are written again, from the state before it
+    sinks.upsert(spark.createDataFrame([("k0", -1)], "k string, v long"), 11, table, ["k"], buckets=4)
+    assert sinks.read_table(spark, table).filter("v = -1").count() == 1
+
+
+def test_upsert_of_null_keys_and_empty_batches(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for i, rows in enumerate([[], [(None, 1), ("a", 2)], [(None, 3)], []]):
+        sinks.upsert(spark.createDataFrame(rows, "k string, v long"), i, table, ["k"])
+    assert {r.k: r.v for r in sinks.read_table(spark, table).collect()} == {None: 3, "a": 2}
+    sinks.replace(spark.createDataFrame([], "k string, v long"), 4, table)
+    assert sinks.read_table(spark, table).count() == 0
+
+
+# --- folders of files ------------------------------------------------------------------
+
+def _lots(flights, path, n=6):
+    """``n`` clean files of about a sixth of the flights each."""
+    for k in range(n):
+        write_clean_text(flights.filter(F.abs(F.hash("flight_num")) % n == k).coalesce(1), f"{path}/{k}")
+    return f"{path}/*"
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_a_folder_is_worked_through_in_bounded_batches(spark, flights, tmp_path, mode):
+    files = _lots(flights, str(tmp_path / "in"))
+    run = lambda: folder.start_question(spark, files, "q2.3", str(tmp_path / "run"), mode,
+                                        Pace(available_now=True, max_files=2))
+    job = run()
+    assert _same(job.wait(), answer(flights, "q2.3"))
+    sizes = job.progress.rows()
+    assert len(sizes) == 3 and sum(sizes) == flights.count() and max(sizes) < flights.count()
+    # started again, it reads nothing twice, and then only what has come
+    again = run()
+    assert _same(again.wait(), answer(flights, "q2.3")) and again.progress.rows() == []
+    write_clean_text(flights.limit(10).coalesce(1), str(tmp_path / "in" / "new"))
+    more = run()
+    more.wait()
+    assert more.counters()["input_rows"] == 10
+
+
+def test_bytes_bound_a_batch_under_an_interval(spark, flights, tmp_path):
+    files = _lots(flights, str(tmp_path / "in"))
+    job = folder.start_question(spark, files, "q1.1", str(tmp_path / "run"),
+                                pace=Pace(interval="200 milliseconds", max_bytes=1))
+    try:
+        assert _same(job.wait(), answer(flights, "q1.1"))
+        assert len(job.progress.rows()) == 6  # a file at least in each
+    finally:
+        job.stop()
+    with pytest.raises(ValueError):
+        Pace(interval="1 second", available_now=True)
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_all_questions_over_a_folder(spark, flights, tmp_path, mode):
+    files = _lots(flights, str(tmp_path / "in"), 2)
+    job = folder.start_all_questions(spark, files, str(tmp_path / "run"), mode,
+                                     Pace(available_now=True, max_files=1))
+    got = job.wait()
+    assert _same(got, answers(base_aggregate(flights)))
+    assert len(sinks.versions(spark, str(tmp_path / "run" / "answers"))) == (2 if mode == "update" else 1)
+
+
+def test_best_legs_over_a_folder_and_done_files_are_archived(spark, flights, tmp_path):
+    for y in (1996, 1997, 1998):
+        write_clean_text(flights.filter(F.year("flight_date") == y).coalesce(1), str(tmp_path / "in" / str(y)))
+    job = folder.start_best_legs(spark, f"{tmp_path}/in/*", str(tmp_path / "run"),
+                                 pace=Pace(available_now=True, max_files=1), archive_dir=str(tmp_path / "done"))
+    got = job.wait()
+    last = flights.filter(F.year("flight_date") == 1998).agg(F.max("flight_date")).first()[0]
+    want = best_legs(flights.filter(F.year("flight_date").between(1996, 1998))).filter(F.col("flight_date") < last)
+    assert _same(got, want)
+    assert glob.glob(f"{tmp_path}/done/**/*.txt", recursive=True)
+
+
+def test_raw_files_as_a_stream(spark, flights, tmp_path):
+    write_raw_csv(flights, str(tmp_path / "in" / "a"))
+    job = folder.start_question(spark, f"{tmp_path}/in/*", "q1.3", str(tmp_path / "run"),
+                                pace=Pace(available_now=True), kind="raw", path_glob="*.csv")
+    assert _same(job.wait(), answer(flights, "q1.3"))
+
+
+# --- late flights ----------------------------------------------------------------------
+
+def test_late_flights_are_counted_and_kept(spark, flights, duck_small):
+    legs, late, counts = runner.run_late_flights(spark, flights)
+    assert rows(legs, sorted(legs.columns)) == duck_rows(duck_small, oracle.late_legs_sql(), sorted(legs.columns))
+    by_year = duck_small.execute(oracle.late_flights_sql()).fetchall()
+    assert counts == {"flights": flights.count(), "late": sum(n for _, n in by_year), "undated": 0}
+    assert late.count() == counts["late"]
