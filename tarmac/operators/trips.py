@@ -9,18 +9,16 @@ product):
    before the shuffle, so a hub or a busy day is pre-reduced in every map
    task and each key leaves at most one row per task.
 2. ``two_leg_trips`` — every leg gets its stop-over key: the airport and
-   date where the traveller changes planes (morning leg: its destination
-   and date + offset; afternoon leg: its origin and date), and the two
-   periods are equi-joined on it.  Catalyst pushes each side's period
-   filter below the aggregation, so the morning side aggregates only
-   morning flights and the afternoon side only afternoon ones (two
-   column-pruned scans, each shuffling its own half).  After step 1 a
-   stop-over key has at most one morning leg per origin airport and one
-   afternoon leg per destination airport, so the join input per key is
-   bounded by the number of airports whatever the raw skew was; its
-   output is exactly the result rows.  AQE turns the join into a
+   date where the traveller changes planes (first leg: its destination and
+   date + offset; second leg: its origin and date), and the two periods are
+   equi-joined on it.  With ``both_periods`` the two sides hold the same
+   aggregation, so flights are scanned and aggregated once and the exchange
+   is reused.  After step 1 a stop-over key has at most one first leg per
+   origin airport and one second leg per destination airport, so the join
+   input per key is bounded by the number of airports whatever the raw skew
+   was; its output is exactly the result rows.  AQE turns the join into a
    broadcast join when a side is measured small, and splits skewed join
-   partitions otherwise.
+   partitions otherwise.  Several offsets are one join, too.
 """
 
 from __future__ import annotations
@@ -53,14 +51,22 @@ def best_legs(flights: DataFrame) -> DataFrame:
                     F.col("best.flight_num").alias("flight_num")))
 
 
-def stopover_keyed(legs: DataFrame, offset_days: int = 2, first: str = MORNING,
-                   second: str = AFTERNOON) -> DataFrame:
-    """Legs of the two periods with their stop-over (airport, date) key."""
-    is_first = F.col("period") == F.lit(first)
-    return (legs.filter(F.col("period").isin(first, second) if first != second else is_first)
-            .withColumn("stop_airport", F.when(is_first, F.col("dest")).otherwise(F.col("origin")))
-            .withColumn("stop_date", F.when(is_first, F.date_add("flight_date", offset_days))
-                        .otherwise(F.col("flight_date"))))
+def both_periods(flights: DataFrame, first: str = MORNING, second: str = AFTERNOON) -> DataFrame:
+    """Best legs of two periods, found in one aggregation: one row per (flight_date, origin, dest, period).
+
+    The period is a column of the output, not a key of the aggregation, so a
+    filter on it stays above: both sides of a trip join then hold the same
+    aggregation, which Spark runs once and reuses.
+    """
+    legs = with_period(require(flights.select(*TRIP_REQUIRED), TRIP_REQUIRED))
+    leg = F.struct("arr_delay", "minute_of_day", "unique_carrier", "flight_num", "crs_dep_time")
+    best = legs.groupBy("flight_date", "origin", "dest").agg(
+        *[F.min(F.when(F.col("period") == p, leg)).alias(p) for p in (first, second)])
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("period"), F.col(p).alias("best")) for p in (first, second)]))
+    return (best.select("flight_date", "origin", "dest", each.alias("leg")).filter("leg.best is not null")
+            .select("flight_date", "origin", "dest", F.col("leg.period").alias("period"),
+                    *[F.col(f"leg.best.{c}").alias(c)
+                      for c in ("arr_delay", "crs_dep_time", "unique_carrier", "flight_num")]))
 
 
 def two_leg_trips(legs: DataFrame, offset_days: int = 2, first: str = MORNING,
@@ -70,13 +76,25 @@ def two_leg_trips(legs: DataFrame, offset_days: int = 2, first: str = MORNING,
     Output (result table q3): date1, origin, dest1, dest2, total_delay,
     datetime1, flight1, datetime2, flight2.
     """
+    return trips_of_offsets(legs, [offset_days], first, second).drop("offset_days")
+
+
+def trips_of_offsets(legs: DataFrame, offsets: list[int], first: str = MORNING,
+                     second: str = AFTERNOON) -> DataFrame:
+    """Trips of several offsets in one equi-join; ``offset_days`` tells them apart.
+
+    A first leg is given a stop-over date for each offset, so legs are found
+    and second legs shuffled once, however many offsets are asked for.
+    """
     if first == second:
         raise ValueError("first and second period must differ")
-    keyed = stopover_keyed(legs, offset_days, first, second)
-    a = keyed.filter(F.col("period") == F.lit(first)).alias("a")
-    b = keyed.filter(F.col("period") == F.lit(second)).alias("b")
-    joined = a.join(b, (F.col("a.stop_airport") == F.col("b.stop_airport"))
-                    & (F.col("a.stop_date") == F.col("b.stop_date")))
+    if len(set(offsets)) != len(offsets):
+        raise ValueError(f"offsets must differ: {offsets}")
+    a = (legs.filter(F.col("period") == F.lit(first))
+         .withColumn("offset_days", F.explode(F.array(*[F.lit(int(d)) for d in offsets])))
+         .withColumn("stop_date", F.date_add("flight_date", F.col("offset_days")))).alias("a")
+    b = legs.filter(F.col("period") == F.lit(second)).alias("b")
+    joined = a.join(b, (F.col("a.dest") == F.col("b.origin")) & (F.col("a.stop_date") == F.col("b.flight_date")))
     return joined.select(
         F.col("a.flight_date").alias("date1"),
         F.col("a.origin").alias("origin"),
@@ -87,4 +105,5 @@ def two_leg_trips(legs: DataFrame, offset_days: int = 2, first: str = MORNING,
         leg_label(F.col("a.unique_carrier"), F.col("a.flight_num")).alias("flight1"),
         leg_label(F.col("b.flight_date").cast("string"), F.col("b.crs_dep_time")).alias("datetime2"),
         leg_label(F.col("b.unique_carrier"), F.col("b.flight_num")).alias("flight2"),
+        F.col("a.offset_days").alias("offset_days"),
     )

@@ -114,6 +114,10 @@ FROM legs a JOIN legs b
  AND b.flight_date = a.flight_date + {int(offset_days)}"""
 
 
+def trips_of_offsets_sql(offsets: list[int]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT *, {d} AS offset_days FROM ({trips_sql(d)}) t{d}" for d in offsets)
+
+
 BEST_LEGS = _with(best_legs_ctes()) + "SELECT * FROM legs"
 Q3 = trips_sql(2)
 

@@ -17,7 +17,7 @@ from tarmac.functions.columns import weekday_name
 from tarmac.operators.aggregate import airport_popularity, mean_by
 from tarmac.operators.curate import require
 from tarmac.operators.ranking import ranked_within, top_k, top_k_per_key
-from tarmac.operators.trips import TRIP_REQUIRED, best_legs, two_leg_trips
+from tarmac.operators.trips import TRIP_REQUIRED, both_periods, two_leg_trips
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,7 @@ def answer(flights: DataFrame, name: str, trip_offset_days: int = 2) -> DataFram
     if name == "q1.1":
         return airport_popularity(question_input(flights, name))
     if name == "q3":
-        return two_leg_trips(best_legs(flights), offset_days=trip_offset_days)
+        return two_leg_trips(both_periods(flights), offset_days=trip_offset_days)
     return mean_by(question_input(flights, name), q.keys, q.measure)
 
 

@@ -87,6 +87,7 @@ ORACLE: dict[str, str] = {
     "best_leg_per_day_period": oracle.BEST_LEGS,
     "trip_offset_days_1": oracle.trips_sql(1),
     "trip_offset_days_3": oracle.trips_sql(3),
+    "trip_offsets": oracle.trips_of_offsets_sql([1, 2, 3]),
     "curate_required": oracle.CURATE_REQUIRED,
     "complete_rows": oracle.COMPLETE_ROWS,
     "curate_quality": oracle.QUALITY,

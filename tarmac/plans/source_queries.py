@@ -15,9 +15,10 @@ from tarmac.functions.columns import route_key
 from tarmac.operators.aggregate import merge_means, partial_means
 from tarmac.operators.curate import complete_rows, quality_counts, require, with_period
 from tarmac.operators.lookup import lookup_many, lookup_question
-from tarmac.operators.trips import best_legs, two_leg_trips
+from tarmac.operators.trips import best_legs, both_periods, trips_of_offsets, two_leg_trips
 from tarmac.plans.questions import QUESTIONS, answer, question_input, ranking
 from tarmac.session import apply_runtime_conf, scratch_dir
+from tarmac.sinks.lookups import open_lookup, write_lookup
 from tarmac.sinks.tables import write_partitioned
 from tarmac.sources.curated import curated_flights, curated_flights_path
 from tarmac.sources.raw import (curate_clean, curate_raw, read_clean, read_raw,
@@ -84,7 +85,7 @@ def scan_year_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of one year, read through partition pruning of the curated table."""
     apply_runtime_conf(spark)
     fl = flights_of_years(spark, curated_flights_path(spark, sf_dir), [TRIP_YEAR])
-    return two_leg_trips(best_legs(fl))
+    return two_leg_trips(both_periods(fl))
 
 
 def extract_year_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,18 +107,33 @@ def partitioned_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "dest", "arr_delay", "crs_dep_time", "unique_carrier", "flight_num"))
 
 
+def trip_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips whose second leg leaves one, two or three days later, in one join."""
+    return trips_of_offsets(both_periods(_flights(spark, sf_dir)), [1, 2, 3])
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, rank: bool = False) -> DataFrame:
+    """A question's stored result table (or its ranking), as a reader of the results opens it."""
+    flights = _flights(spark, sf_dir)
+    result = answer(flights, name)
+    path = write_lookup(ranking(result, name) if rank else result, scratch_dir(spark, "lookup"),
+                        QUESTIONS[name].params, QUESTIONS[name].sort_by)
+    return open_lookup(spark, path)
+
+
 def lookup_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup_question(answer(_flights(spark, sf_dir), "q2.4"), "q2.4", **LOOKUP_ROUTE)
+    """Mean delay of one route, from the stored table."""
+    return lookup_question(_stored(spark, sf_dir, "q2.4"), "q2.4", **LOOKUP_ROUTE)
 
 
 def lookup_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup_question(answer(_flights(spark, sf_dir), "q3"), "q3", **LOOKUP_TRIP)
+    """One trip, from the stored table."""
+    return lookup_question(_stored(spark, sf_dir, "q3"), "q3", **LOOKUP_TRIP)
 
 
 def lookup_many_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top-10 carriers for several origins in one job (q2.1 batch lookup)."""
-    top = ranking(answer(_flights(spark, sf_dir), "q2.1"), "q2.1")
-    return lookup_many(top, ["origin"], [(o,) for o in LOOKUP_ORIGINS])
+    """Top-10 carriers for several origins in one job, from the stored ranking (q2.1 batch lookup)."""
+    return lookup_many(_stored(spark, sf_dir, "q2.1", rank=True), ["origin"], [(o,) for o in LOOKUP_ORIGINS])
 
 
 QUERIES = {
@@ -130,6 +146,7 @@ QUERIES = {
     "scan_year_prune": scan_year_prune,
     "extract_year_sorted": extract_year_sorted,
     "partitioned_legs": partitioned_legs,
+    "trip_offsets": trip_offsets,
     "lookup_route": lookup_route,
     "lookup_trip": lookup_trip,
     "lookup_many": lookup_many_query,
