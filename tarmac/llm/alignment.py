@@ -53,22 +53,47 @@ MARK = "▁"
 B_BITS = 31
 
 
+# Fixed value: how byte-level BPE splits text before its merges.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class TokenizerA:
-    """Byte-level BPE from a ``tokenizers`` file; the bytes of each identifier."""
+    """Byte-level BPE from a ``tokenizers`` file; the bytes of each identifier.
+
+    Where the identifiers follow the order of the merges, as the file's model
+    has them, the ranks are taken from the file and merged by ``tiktoken``, which
+    gives the same tokens in a fraction of the time.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         of = byte_of_char()
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            told = json.load(f)
+        model = told["model"]
+        vocabulary = model["vocab"]
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for entry, i in vocabulary.items():
             self.bytes[i] = bytes(of[c] for c in entry) if all(c in of for c in entry) else entry.encode()
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        split = told.get("pre_tokenizer") or {}
+        in_order = (not told.get("normalizer") and not model.get("ignore_merges") and not model.get("unk_token")
+                    and all(split.get(k) == v for k, v in plain.items())
+                    and all(vocabulary.get(x + y) == 256 + k for k, (x, y) in enumerate(merges))
+                    and sorted(vocabulary[c] for c in of if c in vocabulary) == list(range(256)))
+        if in_order:
+            from tiktoken import Encoding
+            ranks = {self.bytes[i]: i for i in range(256 + len(merges))}
+            self._encode = Encoding("byte level", pat_str=SPLIT, mergeable_ranks=ranks,
+                                    special_tokens={}).encode_ordinary
+        else:
+            from tokenizers import Tokenizer
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.encode_special_tokens = True
+            self._encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> list[int]:
-        return self.model.encode(" " + text, add_special_tokens=False).ids
+        return self._encode(" " + text)
 
 
 class TokenizerB:

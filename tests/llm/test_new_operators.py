@@ -202,7 +202,7 @@ ODD = ["  x  y ", "a▁b", "<s> </s> <|endoftext|>", "tab\tand\nnew  \n\n line "
 
 def brute_alignment(texts):
     a, b = map(alignment.Side, alignment.tokenizers(*PATHS))
-    groups, links = [], []
+    groups, links = [], []  # A's tokens are compared with the library's below
     for t in texts:
         ids_a, ids_b = a.encode(t or ""), b.encode(t or "")
         whole = (" " + (t or "")).encode()
@@ -240,6 +240,20 @@ def test_alignment_equals_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_tokens_are_those_of_the_file(spark):
+    """The merges in the file's ranks against the library that the file is for."""
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(PATHS[0])
+    plain.encode_special_tokens = True
+    a, rng = alignment.TokenizerA(PATHS[0]), random.Random(11)
+    bits = ["ab", "Don't", "12", "3.5", " ", "  ", "\t", "\n", "\r\n", "\u00a0", "\u200b", "\u180e", "\x1c", "\x85", "!?",
+            "\u3000", "é", "日本", "🙂", "'s", "\x00", "<|endoftext|>", "\u2028", "ſ", "²", "\u0301"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    texts += [r[1] or "" for r in ROWS]
+    for t in texts:
+        assert a.encode(t) == plain.encode(" " + t, add_special_tokens=False).ids, t
+
+
 def test_alignment_query_and_arrays(spark, docs, none):
     rows = queries.op13_tokenizer_alignment(spark, SF_SMALL).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
