@@ -132,6 +132,7 @@ class Side:
         self.sizes = [len(b) for b in self.bytes]
         self.size = np.array(self.sizes, np.int64)
         self.spaced = np.array([b[:1] == b" " for b in self.bytes])
+        self.decimal = list(map(str, range(len(self.bytes))))
 
     def tokens(self, text: str, whole: bytes) -> np.ndarray | None:
         ids = self.encode(text)
@@ -151,15 +152,13 @@ class Windows:
         self.counts: list[tuple[int, int, int]] = []  # tokens of A, of B, groups
         self.links: list[int] = []                    # pair codes, one per group, windows in a row
 
-    def number(self, key: tuple[bytes, bytes]) -> int:
-        found = self.numbers.get(key)
-        if found is None:
-            found = self.numbers[key] = len(self.groups)
-            self._align(*(memoryview(x).cast("i").tolist() for x in key))
+    def _new(self, key: tuple[bytes, bytes]) -> int:
+        found = self.numbers[key] = len(self.groups)
+        self._align(*(memoryview(x).cast("i").tolist() for x in key))
         return found
 
     def _align(self, a: list[int], b: list[int]) -> None:
-        size_a, size_b = self.a.sizes, self.b.sizes
+        size_a, size_b, name_a, name_b = self.a.sizes, self.b.sizes, self.a.decimal, self.b.decimal
         text, links, i, j, from_i, from_j, ahead = [], [], 0, 0, 0, 0, 0
         while i < len(a):  # ahead: bytes by which side A leads side B
             if ahead <= 0:
@@ -172,7 +171,8 @@ class Windows:
                 ahead -= size_b[b[j]]
                 j += 1
             if ahead == 0 and j > from_j:
-                text.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
+                text.append(",".join([name_a[x] for x in a[from_i:i]]) + "|"
+                            + ",".join([name_b[x] for x in b[from_j:j]]))
                 links.append(a[i - 1] << B_BITS | b[j - 1])
                 from_i, from_j = i, j
         self.groups.append(";".join(text))
@@ -195,9 +195,12 @@ class Windows:
                                        return_indices=True)
         cut_a = [0, *((before_a[at_a] + 1) * 4).tolist(), 4 * len(a)]
         cut_b = [0, *((before_b[at_b] + 1) * 4).tolist(), 4 * len(b)]
-        raw_a, raw_b, number = a.tobytes(), b.tobytes(), self.number
-        return [number((raw_a[i:x], raw_b[j:y]))
-                for i, x, j, y in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+        raw_a, raw_b, get, out = a.tobytes(), b.tobytes(), self.numbers.get, []
+        for i, x, j, y in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]):
+            key = (raw_a[i:x], raw_b[j:y])
+            found = get(key)
+            out.append(self._new(key) if found is None else found)
+        return out
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -217,7 +220,7 @@ def _chunk_schema(key: T.DataType) -> T.StructType:
         field("chunk", T.LongType()), field("keys", T.ArrayType(key)),
         field("windows", T.ArrayType(T.LongType())),      # of each text
         field("places", T.BinaryType()),                  # the texts' windows in a row
-        field("groups", T.ArrayType(T.StringType())),     # of each distinct window
+        field("groups", T.BinaryType()),                  # of the distinct windows: a line each
         field("sizes", T.BinaryType()),                   # three of each distinct window
         field("window_links", T.BinaryType()),            # links of the distinct windows in a row
         field("pairs", T.ArrayType(T.LongType())),        # distinct pair codes; links are numbers into them
@@ -256,7 +259,8 @@ def _packed(path_a: str, path_b: str, schema: T.StructType) -> Callable:
                 row = {
                     "chunk": (part << 32) + nth, "keys": batch.column(0).slice(lo, hi - lo).to_pylist(),
                     "windows": per_text, "places": _squeezed(rank[flat] if n else flat),
-                    "groups": [windows.groups[i] for i in order],
+                    "groups": zstandard.ZstdCompressor(level=1).compress(
+                        "\n".join([windows.groups[i] for i in order]).encode()),
                     "sizes": _squeezed(sizes[order].ravel()),
                     "window_links": _squeezed(numbers), "pairs": pairs.tolist(),
                     "counts": counts.astype(np.int64).tolist()}
@@ -278,7 +282,9 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = lambda name: batch.column(batch.schema.get_field_index(name))[at]  # noqa: E731,B023
             keys, per_text = row("keys").values, np.array(row("windows").as_py(), np.int64)
             places, sizes = _unsqueezed(row("places").as_py()), _unsqueezed(row("sizes").as_py()).reshape(-1, 3)
-            links, groups = _unsqueezed(row("window_links").as_py()), row("groups").as_py()
+            links = _unsqueezed(row("window_links").as_py())
+            lines = zstandard.ZstdDecompressor().decompress(row("groups").as_py()).decode()
+            groups = lines.split("\n") if lines else []
             told = row("told").values
             n = len(row("pairs").values) if row("pairs").values is not None else 0
             total, best = np.zeros(n, np.int64), np.zeros(n, np.int64)
