@@ -46,12 +46,19 @@ def with_period(df: DataFrame, time_col: str = "crs_dep_time") -> DataFrame:
               .withColumn("period", day_period("minute_of_day")))
 
 
-def quality_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+def quality_counts(df: DataFrame, columns: list[str], faults: str | None = None,
+                   corrupt: str | None = None) -> DataFrame:
     """One row: total rows and, per column, rows where it is missing.
 
-    A single aggregate pass (partial + final), so it is cheap at any scale.
+    With ``faults`` (see ``curate_raw``), a field that is there but cannot be
+    read is not missing: it counts in ``unparsable_<column>``.  With ``corrupt``
+    (see ``read_raw``), ``corrupt_lines`` counts the lines with a wrong number of
+    fields.  A single aggregate pass (partial + final), so it is cheap at any scale.
     """
+    count = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
+    bad = lambda c: F.exists(faults, lambda f: f["column"] == c) if faults else F.lit(False)
     aggs = [F.count(F.lit(1)).alias("rows")]
-    aggs += [F.sum(F.when(~present(df, c), 1).otherwise(0)).cast("long").alias(f"missing_{c}")
-             for c in columns]
+    aggs += [count(~present(df, c) & ~bad(c), f"missing_{c}") for c in columns]
+    aggs += [count(bad(c), f"unparsable_{c}") for c in columns if faults]
+    aggs += [count(F.col(corrupt).isNotNull(), "corrupt_lines")] if corrupt else []
     return df.agg(*aggs)

@@ -45,7 +45,8 @@ def _parts(base: DataFrame, name: str) -> list:
     text = [c for c in q.required if c in BASE_KEYS and c != "day_of_week"]
     there = reduce(lambda a, b: a & b, [present(base, c) for c in text], F.lit(True))
     if name == "q1.1":
-        return [F.when(there, F.struct(F.array(F.col(end)).alias("key"), F.lit(None).cast("double").alias("total"),
+        none = F.lit(None).cast(base.schema["sum_arr_delay"].dataType)
+        return [F.when(there, F.struct(F.array(F.col(end)).alias("key"), none.alias("total"),
                                        F.col("n_flights").alias("n"))) for end in ("origin", "dest")]
     keys = [weekday_name("day_of_week") if k == "weekday" else F.col(k) for k in result_key(name)]
     there = there & (F.col(f"n_{q.measure}") > 0)
@@ -55,8 +56,8 @@ def _parts(base: DataFrame, name: str) -> list:
                                    F.col(f"n_{q.measure}").alias("n")))]
 
 
-def answers(base: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """The questions' result tables in one, from one plan: LONG_KEYS, delay (null: a count) and n_flights.
+def totals(base: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """The questions' sums in one, from one plan: LONG_KEYS, total (null: a count) and n_flights.
 
     Each base row is handed to every question at once and all are summed in
     one aggregation, so a base read from flights costs one scan of them.
@@ -69,10 +70,31 @@ def answers(base: DataFrame, names: list[str] | None = None) -> DataFrame:
                 F.lit(name).alias("question"), key(0).alias("key1"), key(1).alias("key2"), key(2).alias("key3"),
                 part["total"].alias("total"), part["n"].alias("n"))))
     rows = base.select(F.explode(F.array(*each)).alias("r")).filter("r is not null").select("r.*")
-    return rows.groupBy(*LONG_KEYS).agg(F.sum("total").alias("total"), F.sum("n").alias("n_flights")).select(
+    return rows.groupBy(*LONG_KEYS).agg(F.sum("total").alias("total"), F.sum("n").alias("n_flights"))
+
+
+def answers(base: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """The questions' result tables in one: LONG_KEYS, delay (null: a count) and n_flights."""
+    return totals(base, names).select(
         *LONG_KEYS, (F.col("total") / F.col("n_flights")).alias("delay"), "n_flights")
 
 
+def exact_answers(flights: DataFrame, names: list[str] | None = None, digits: int = 3) -> DataFrame:
+    """As ``answers``, with delay as a decimal that does not hang on the order of summation.
+
+    Delays are added as decimals of ``digits`` places, and the mean is rounded
+    once, from the whole quotient, halves away from zero.
+    """
+    exact = {m: F.col(m).cast(f"decimal(18,{digits})") for m in MEASURES}
+    sums = totals(base_aggregate(flights.withColumns(exact)), names)
+    units = (F.col("total") * F.lit(10 ** digits)).cast("decimal(38,0)")
+    half_up = F.expr("(2 * abs(units) + n_flights) div (2 * n_flights)")
+    mean = F.when(F.col("units") < 0, -half_up).otherwise(half_up)
+    return sums.withColumn("units", units).select(
+        *LONG_KEYS, (mean.cast("decimal(38,0)") / F.lit(10 ** digits)).cast(f"decimal(18,{digits})").alias("delay"),
+        "n_flights")
+
+
 def answer_from_base(base: DataFrame, name: str) -> DataFrame:
     """The full result table of one question."""
     long = answers(base, [name])

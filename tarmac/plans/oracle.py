@@ -187,12 +187,53 @@ def long_sql() -> str:
     return "\nUNION ALL\n".join(selects)
 
 
-def _missing(c: str, text: bool) -> str:
-    cond = f"{c} IS NULL OR trim({c}) = ''" if text else f"{c} IS NULL"
-    return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS missing_{c}"
+ALL_FLIGHTS = _with() + f"SELECT {FLIGHT_COLS} FROM flights"
 
 
-QUALITY = (_with() + "SELECT CAST(count(*) AS BIGINT) AS rows, " + ", ".join(
-    _missing(c, c in ("unique_carrier", "flight_num", "origin", "dest", "crs_dep_time"))
-    for c in ["flight_date", "day_of_week", "unique_carrier", "flight_num", "origin", "dest",
-              "crs_dep_time", "dep_delay", "arr_delay"]) + " FROM flights")
+def export_sql() -> str:
+    """The seven tables with means from whole numbers of thousandths, rounded once, as text."""
+    parts = [
+        ("q1.1", "flights, (SELECT unnest([1, 2]) AS side)", ["CASE side WHEN 1 THEN origin ELSE dest END"], None,
+         text_present("origin", "dest")),
+        ("q1.2", "flights", ["unique_carrier"], "arr_delay", text_present("unique_carrier")),
+        ("q1.3", "flights", [WEEKDAY_SQL], "arr_delay", "day_of_week BETWEEN 1 AND 7"),
+        ("q2.1", "flights", ["origin", "unique_carrier"], "dep_delay", text_present("origin", "unique_carrier")),
+        ("q2.2", "flights", ["origin", "dest"], "dep_delay", text_present("origin", "dest")),
+        ("q2.3", "flights", ["origin", "dest", "unique_carrier"], "arr_delay",
+         text_present("origin", "dest", "unique_carrier")),
+        ("q2.4", "flights", ["origin", "dest"], "arr_delay", text_present("origin", "dest")),
+    ]
+    selects = []
+    for name, source, keys, measure, there in parts:
+        ks = ", ".join(f"{k} AS key{i + 1}" for i, k in enumerate(keys + ["CAST(NULL AS VARCHAR)"] * (3 - len(keys))))
+        units = f"CAST(round({measure} * 1000) AS HUGEINT)" if measure else "CAST(NULL AS HUGEINT)"
+        there += f" AND {measure} IS NOT NULL" if measure else ""
+        selects.append(f"SELECT '{name}' AS question, {ks}, {units} AS u FROM {source} WHERE {there}")
+    return _with("each AS (" + "\nUNION ALL\n".join(selects) + ")", """
+sums AS (SELECT question, key1, key2, key3, CAST(sum(u) AS HUGEINT) AS t, CAST(count(*) AS BIGINT) AS n
+         FROM each GROUP BY ALL)""", """
+means AS (SELECT *, (2 * abs(t) + n) // (2 * n) AS m FROM sums)""") + (
+        "SELECT question, key1, key2, key3, CASE WHEN t < 0 AND m > 0 THEN '-' ELSE '' END || (m // 1000) || '.' "
+        "|| lpad(CAST(m % 1000 AS VARCHAR), 3, '0') AS delay, n AS n_flights FROM means")
+
+
+def quality_sql() -> str:
+    """What the stand-in lines hold: cut after ten fields (line number 7), or a word as delay (cancelled, 3)."""
+    text = ["unique_carrier", "flight_num", "origin", "dest", "crs_dep_time"]
+    late = ["flight_num", "origin", "dest", "crs_dep_time", "dep_delay", "arr_delay"]
+    counts = ["CAST(count(*) AS BIGINT) AS rows", "CAST(count(*) FILTER (short) AS BIGINT) AS corrupt_lines"]
+    for c in FLIGHT_COLS.split(", "):
+        gone = f"({c} IS NULL" + (f" OR trim({c}) = ''" if c in text else "") + ")"
+        gone += " AND NOT odd" if c == "arr_delay" else ""
+        gone = f"short OR ({gone})" if c in late else gone
+        wrong = {"arr_delay": "odd AND NOT short", "crs_dep_time": f"NOT short AND trim(crs_dep_time) <> '' AND "
+                 f"({MINUTE_SQL}) IS NULL"}.get(c, "false")
+        gone = f"({gone}) AND NOT ({wrong})"
+        counts += [f"CAST(count(*) FILTER ({gone}) AS BIGINT) AS missing_{c}",
+                   f"CAST(count(*) FILTER ({wrong}) AS BIGINT) AS unparsable_{c}"]
+    return _with("lines AS (SELECT *, flight_num LIKE '%-7' AS short, "
+                 "flight_num LIKE '%-3' AND arr_delay IS NULL AS odd FROM flights)") + (
+        "SELECT " + ", ".join(counts) + " FROM lines")
+
+
+QUALITY = quality_sql()

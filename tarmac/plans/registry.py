@@ -91,6 +91,8 @@ ORACLE: dict[str, str] = {
     "curate_required": oracle.CURATE_REQUIRED,
     "complete_rows": oracle.COMPLETE_ROWS,
     "curate_quality": oracle.QUALITY,
+    "archive_ingest": oracle.ALL_FLIGHTS,
+    "export_results": oracle.export_sql(),
     "time_of_day_split": oracle.TIME_OF_DAY,
     "route_key": oracle.ROUTE_KEY,
     "mean_merge": oracle.Q12,

@@ -17,11 +17,14 @@ from tarmac.operators.curate import complete_rows, quality_counts, require, with
 from tarmac.operators.lookup import lookup_many, lookup_question
 from tarmac.operators.trips import best_legs, both_periods, trips_of_offsets, two_leg_trips
 from tarmac.plans.questions import QUESTIONS, answer, question_input, ranking
+from tarmac.schema import FLIGHT_COLUMNS
 from tarmac.session import apply_runtime_conf, scratch_dir
+from tarmac.sinks.export import export_results, read_export
 from tarmac.sinks.lookups import open_lookup, write_lookup
 from tarmac.sinks.tables import write_partitioned
+from tarmac.sources.archives import read_archives, write_archives
 from tarmac.sources.curated import curated_flights, curated_flights_path
-from tarmac.sources.raw import (curate_clean, curate_raw, read_clean, read_raw,
+from tarmac.sources.raw import (curate_clean, curate_raw, raw_rows, read_clean, read_raw,
                                 write_clean_text, write_raw_csv)
 from tarmac.sources.selection import flights_of_years, year_sorted
 
@@ -53,11 +56,32 @@ def complete_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate_clean(complete_rows(read_clean(spark, path)))
 
 
+def _faulty_raw_text(flights: DataFrame, path: str) -> str:
+    """Raw lines of flights, some short (line number 7) or with a word as arrival delay (cancelled, 3)."""
+    rows = raw_rows(flights).withColumn("ArrDelay", F.when(
+        F.col("FlightNum").endswith("-3") & (F.col("ArrDelay") == ""), F.lit("cancelled")).otherwise(F.col("ArrDelay")))
+    line = F.to_csv(F.struct(*rows.columns))
+    rows.select(F.when(F.col("FlightNum").endswith("-7"), F.substring_index(line, ",", 10)).otherwise(line)
+                .alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
 def curate_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw CSV round trip: rows read and, per curated column, rows where it is missing."""
-    path = write_raw_csv(_flights(spark, sf_dir), scratch_dir(spark, "raw-quality"))
-    fl = curate_raw(read_raw(spark, path))
-    return quality_counts(fl, fl.columns)
+    """Raw text round trip: rows read and, per curated column, rows where it is missing or unparsable."""
+    path = _faulty_raw_text(_flights(spark, sf_dir), scratch_dir(spark, "raw-quality"))
+    fl = curate_raw(read_raw(spark, path, corrupt="corrupt"), faults="faults", keep=["corrupt"])
+    return quality_counts(fl, FLIGHT_COLUMNS, faults="faults", corrupt="corrupt")
+
+
+def archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive round trip: zip the flights as raw CSV, cut, inflate and curate every member."""
+    path = write_archives(_flights(spark, sf_dir), scratch_dir(spark, "archives"))
+    return curate_raw(read_archives(spark, path, pattern="part-*"))
+
+
+def export_results_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven aggregate questions exported with exact decimal means, read back as text."""
+    return read_export(spark, export_results(_flights(spark, sf_dir), scratch_dir(spark, "export")))
 
 
 def time_of_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,17 +118,10 @@ def extract_year_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partitioned_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best legs written under one directory per (period, month), read back.
-
-    The directory key is a parameter of ``write_partitioned``; a month
-    keeps the directory count at 2 x months instead of 2 x days.
-    """
-    legs = best_legs(_flights(spark, sf_dir)).withColumn(
-        "month", F.date_format("flight_date", "yyyy-MM"))
-    path = write_partitioned(legs, scratch_dir(spark, "legs"), ["period", "month"])
-    return (spark.read.option("basePath", path).parquet(path)
-            .select("flight_date", F.col("period").cast("string").alias("period"), "origin",
-                    "dest", "arr_delay", "crs_dep_time", "unique_carrier", "flight_num"))
+    """Best legs written under one directory per (date, period), read back."""
+    legs = best_legs(_flights(spark, sf_dir))
+    path = write_partitioned(legs, scratch_dir(spark, "legs"), ["flight_date", "period"])
+    return spark.read.schema(legs.schema).parquet(path).select(*legs.columns)
 
 
 def trip_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +157,8 @@ QUERIES = {
     "curate_required": curate_required,
     "complete_rows": complete_rows_query,
     "curate_quality": curate_quality,
+    "archive_ingest": archive_ingest,
+    "export_results": export_results_query,
     "time_of_day_split": time_of_day_split,
     "route_key": route_key_query,
     "mean_merge": mean_merge,

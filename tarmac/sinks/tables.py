@@ -33,9 +33,13 @@ def write_flights(flights: DataFrame, path: str) -> str:
 
 def write_result(result: DataFrame, path: str, keys: list[str], sort_by: str | None = None,
                  partition_by: list[str] | None = None) -> str:
-    """Write one result table, clustered by key (and ranking column inside a key)."""
+    """Write one result table, clustered by key (and ranking column inside a key).
+
+    Ranges are over the whole order, so a first key that holds a third of the
+    rows is spread over several files, each a stretch of its order.
+    """
     order = list(keys[:1]) + ([sort_by] if sort_by else []) + list(keys[1:])
-    writer = (result.repartitionByRange(keys[0]) if keys else result)
+    writer = (result.repartitionByRange(*order) if order else result)
     writer = writer.sortWithinPartitions(*order) if order else writer
     w = writer.write.mode("overwrite")
     if partition_by:
@@ -47,11 +51,12 @@ def write_result(result: DataFrame, path: str, keys: list[str], sort_by: str | N
 def write_partitioned(df: DataFrame, path: str, by: list[str]) -> str:
     """One directory per value of ``by`` (the key leaves the rows).
 
-    Rows are first hash-partitioned on ``by`` so each directory is written
-    by one task: one file per directory instead of one per task and
-    directory.  With a single hot value that task is large but bounded by
-    the rows of that value; use ``write_flights``-style local sorting
-    instead when the values are few and heavy.
+    Rows are dealt by ``by`` with a ``REBALANCE`` hint: from the measured sizes,
+    adaptive execution puts small directories together in one task, a file
+    each, and splits a directory of more than
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` over several tasks and
+    files, so one hot date holds no task up.
     """
-    (df.repartition(*by).write.mode("overwrite").partitionBy(*by).parquet(path))
+    (df.hint("rebalance", *[F.col(b) for b in by])
+     .write.mode("overwrite").partitionBy(*by).parquet(path))
     return path

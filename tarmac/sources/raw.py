@@ -7,6 +7,11 @@ as NULL.  Header lines, quoted or not, are dropped by value wherever they
 stand, so a file without one loses no row.  Only the
 columns a job selects are parsed (CSV column pruning).
 
+A value that is absent and one that cannot be read are told apart on demand:
+``read_raw(corrupt=...)`` keeps the line of a row whose number of fields is
+wrong, and ``curate_raw(faults=...)`` lists the fields whose text is no value of
+their type, beside the typed columns that hold NULL for both.
+
 Clean files: ``;``-separated text with 9 fields; a surplus ``;`` stays
 inside the last field (split with a limit of 9).
 
@@ -19,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.columns import to_double, to_int
+from tarmac.functions.columns import minute_of_day, to_double, to_int
 from tarmac.schema import CLEAN_COLUMNS, CLEAN_TO_FLIGHTS, RAW, RAW_COLUMNS, RAW_TAIL, \
     RAW_TO_FLIGHTS
 
@@ -33,12 +38,33 @@ def is_header(first_field: Column) -> Column:
     return F.coalesce(F.trim(first_field) == F.lit(RAW_COLUMNS[0]), F.lit(False))
 
 
-def read_raw(spark: SparkSession, paths: str | list[str], path_glob: str | None = None) -> DataFrame:
-    """Scan raw CSV files (all columns text)."""
-    reader = spark.read.schema(RAW).option("header", False).options(**CSV_OPTIONS)
+_COMPLETE = [len(RAW_COLUMNS) - 1, len(RAW_COLUMNS)]
+
+
+def _separators(line: str) -> Column:
+    """Number of commas outside quotes."""
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+
+
+def read_raw(spark: SparkSession, paths: str | list[str], path_glob: str | None = None,
+             corrupt: str | None = None) -> DataFrame:
+    """Scan raw CSV files (all columns text).
+
+    ``corrupt`` names one more column, with the whole line where it has not the
+    fields of the layout, with or without the comma at the end, and NULL
+    elsewhere.  All columns of a line are parsed then.
+    """
+    reader = spark.read
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
-    return reader.csv(paths).filter(~is_header(F.col(RAW_COLUMNS[0])))
+    if corrupt is None:
+        rows = reader.schema(RAW).option("header", False).options(**CSV_OPTIONS).csv(paths)
+        return rows.filter(~is_header(F.col(RAW_COLUMNS[0])))
+    lines = reader.text(paths).filter(F.trim("value") != F.lit(""))
+    rows = lines.select(F.from_csv("value", RAW.simpleString(), CSV_OPTIONS).alias("r"),
+                        F.when(~_separators("value").isin(_COMPLETE), F.col("value")).alias(corrupt))
+    return rows.filter(~is_header(F.col("r")[RAW_COLUMNS[0]])).select("r.*", corrupt)
 
 
 def _text(c: Column) -> Column:
@@ -46,7 +72,7 @@ def _text(c: Column) -> Column:
     return F.when(t != F.lit(""), t)
 
 
-def _typed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+def _typed(df: DataFrame, mapping: dict[str, str], extra: list | tuple = ()) -> DataFrame:
     src = {v: k for k, v in mapping.items()}
     return df.select(
         F.col(src["flight_date"]).try_cast("date").alias("flight_date"),
@@ -58,16 +84,34 @@ def _typed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
         _text(F.col(src["crs_dep_time"])).alias("crs_dep_time"),
         to_double(src["dep_delay"]).alias("dep_delay"),
         to_double(src["arr_delay"]).alias("arr_delay"),
+        *extra,
     )
 
 
-def curate_raw(raw: DataFrame) -> DataFrame:
+def _faults(mapping: dict[str, str]) -> Column:
+    """Structs (column, value) of the fields whose text is there but is no value of the column's type."""
+    src = {v: k for k, v in mapping.items()}
+    read = {c: conv(F.col(src[c])) for c, conv in READ_AS.items()}
+    each = [F.when(_text(F.col(src[c])).isNotNull() & v.isNull(),
+                   F.struct(F.lit(c).alias("column"), F.col(src[c]).alias("value"))) for c, v in read.items()]
+    return F.array_compact(F.array(*each))
+
+
+#: How the columns that are not plain text are read.
+READ_AS = {"flight_date": lambda c: c.try_cast("date"), "day_of_week": to_int, "crs_dep_time": minute_of_day,
+           "dep_delay": to_double, "arr_delay": to_double}
+
+
+def curate_raw(raw: DataFrame, faults: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Raw rows -> curated flights (schema FLIGHTS).  Missing / unparsable -> NULL.
 
     Rows are not dropped here: each question drops the rows that miss one
-    of *its* columns (``tarmac.operators.curate.require``).
+    of *its* columns (``tarmac.operators.curate.require``).  ``faults`` names
+    one more column: the unparsable fields, as structs of column and text
+    (an empty array: none).  ``keep`` names columns of ``raw`` to go along.
     """
-    return _typed(raw, RAW_TO_FLIGHTS)
+    extra = [_faults(RAW_TO_FLIGHTS).alias(faults)] if faults else []
+    return _typed(raw, RAW_TO_FLIGHTS, [*extra, *(keep or [])])
 
 
 def parse_clean(lines: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators.lookup import lookup_many, lookup_question
+from tarmac.operators.curate import quality_counts
 from tarmac.plans.questions import answer, question_input
 from tarmac.sources import archives, raw
 from tarmac.sources.archives import read_archives
@@ -108,3 +109,51 @@ def test_lookups_refuse_unknown_parameters_and_keep_types(spark):
         lookup_question(table, "q2.4", orig="A")
     got = lookup_many(table, ["date1"], [("2008-01-01",), ("2008-01-02",)])
     assert got.schema == table.schema and got.count() == 1
+
+
+def test_absent_and_unparsable_fields_differ(spark, tmp_path):
+    line = open(RAW).read().splitlines()
+    (tmp_path / "a.csv").write_text("\n".join(line) + "\n\n")
+    got = read_raw(spark, str(tmp_path), corrupt="bad line")
+    assert rows(got.drop("bad line")) == rows(read_raw(spark, RAW))
+    short = [r["bad line"] for r in got.collect() if r["bad line"] is not None]
+    assert len(short) == 1 and short[0] in line
+    fl = curate_raw(got, faults="why", keep=["bad line"])
+    assert rows(fl.drop("why", "bad line")) == rows(curate_raw(read_raw(spark, RAW)))
+    told = [tuple(f) for r in fl.collect() for f in r.why]
+    assert ("crs_dep_time", "ab") in told and all(v.strip() for _, v in told)
+    (n,) = quality_counts(fl, ["arr_delay", "crs_dep_time"], faults="why", corrupt="bad line").collect()
+    assert n.rows == 12 and n.corrupt_lines == 1
+    assert n.unparsable_crs_dep_time == sum(c == "crs_dep_time" for c, _ in told)
+    assert n.unparsable_arr_delay == sum(c == "arr_delay" for c, _ in told) > 0
+    gone = fl.filter("arr_delay is null").count()
+    assert n.missing_arr_delay + n.unparsable_arr_delay == gone
+
+
+def test_a_large_archive_is_inflated_by_many_tasks(spark, tmp_path):
+    text = open(RAW).read()
+    with zipfile.ZipFile(tmp_path / "all.zip", "w") as zf:
+        for i in range(40):
+            zf.writestr(f"{i}.csv", text, [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2][i % 3])
+        zf.writestr("empty.csv", "")
+        zf.writestr("folder/", "")
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    for name in sizes:
+        spark.conf.set(name, "1k")
+    try:
+        lines = archives.archive_lines(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert len({r.task for r in lines}) > 4
+    assert len(lines) == 40 * len(text.splitlines())
+    assert {r.member for r in lines} == {f"{i}.csv" for i in range(40)}
+
+
+def test_a_damaged_member_fails_the_job(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as zf:
+        zf.writestr("a.csv", "some text that is stored as it is\n")
+    raw_bytes = (tmp_path / "a.zip").read_bytes()
+    (tmp_path / "a.zip").write_bytes(raw_bytes.replace(b"stored", b"storad"))
+    with pytest.raises(Exception, match="CRC"):
+        archives.archive_lines(spark, str(tmp_path)).collect()
