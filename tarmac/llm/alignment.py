@@ -34,7 +34,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import bound_batches, materialise
+from tarmac.llm.common import bound_batches, kept_by_worker, materialise
 from tarmac.llm.words import chunks
 
 CHUNK_BYTES = 6_000_000
@@ -119,9 +118,8 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
 def tokenizers(path_a: str, path_b: str) -> tuple[TokenizerA, TokenizerB]:
-    return TokenizerA(path_a), TokenizerB(path_b)
+    return kept_by_worker(f"tokenizers {path_a} {path_b}", lambda: (TokenizerA(path_a), TokenizerB(path_b)))
 
 
 class Side:
@@ -129,10 +127,8 @@ class Side:
 
     def __init__(self, tokenizer: TokenizerA | TokenizerB):
         self.encode, self.bytes = tokenizer.encode, tokenizer.bytes
-        self.sizes = [len(b) for b in self.bytes]
-        self.size = np.array(self.sizes, np.int64)
+        self.size = np.array([len(b) for b in self.bytes], np.int64)
         self.spaced = np.array([b[:1] == b" " for b in self.bytes])
-        self.decimal = list(map(str, range(len(self.bytes))))
 
     def tokens(self, text: str, whole: bytes) -> np.ndarray | None:
         ids = self.encode(text)
@@ -142,42 +138,70 @@ class Side:
         return out[self.size[out] > 0]
 
 
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+def _ranges(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The integers from each ``first`` on, ``lengths`` of them, in a row."""
+    return np.repeat(first - _starts(lengths), lengths) + np.arange(lengths.sum())
+
+
+#: What follows an identifier where groups are written.
+NEXT, OTHER_SIDE, NEXT_GROUP, NEXT_WINDOW = range(4)
+SIGNS = ",|;\n"
+
+
+class Aligned:
+    """Windows in a row, cut into groups where both sides' tokens end.
+
+    Windows cover the same bytes on both sides, so their ends meet as those of
+    groups do, and all are aligned by one comparison of running sums.
+    """
+
+    def __init__(self, a: Side, b: Side, ids_a: np.ndarray, ids_b: np.ndarray, sizes: np.ndarray):
+        _, self.last_a, self.last_b = np.intersect1d(
+            np.cumsum(a.size[ids_a]), np.cumsum(b.size[ids_b]), assume_unique=True, return_indices=True)
+        self.ids_a, self.ids_b = ids_a, ids_b
+        #: the last group of each window
+        self.closing = np.searchsorted(self.last_a, np.cumsum(sizes[:, 0]) - 1)
+        self.groups = np.diff(self.closing, prepend=-1)
+        self.links = ids_a[self.last_a].astype(np.int64) << B_BITS | ids_b[self.last_b]
+
+    def written(self, numbers: list[str]) -> str:
+        """A line for each window, its groups as ``a1,a2|b1;a3|b2,b3``; ``numbers``: see ``signed_numbers``."""
+        per_a, per_b = np.diff(self.last_a, prepend=-1), np.diff(self.last_b, prepend=-1)
+        follow_a = np.full(len(self.ids_a), NEXT, np.int64)
+        follow_a[self.last_a] = OTHER_SIDE
+        follow_b = np.full(len(self.ids_b), NEXT, np.int64)
+        follow_b[self.last_b] = NEXT_GROUP
+        follow_b[self.last_b[self.closing]] = NEXT_WINDOW
+        out = np.empty(len(self.ids_a) + len(self.ids_b), np.int64)
+        out[np.arange(len(self.ids_a)) + np.repeat(_starts(per_b), per_a)] = self.ids_a * len(SIGNS) + follow_a
+        out[np.arange(len(self.ids_b)) + np.repeat(np.cumsum(per_a), per_b)] = self.ids_b * len(SIGNS) + follow_b
+        return "".join(map(numbers.__getitem__, out.tolist()))[:-1]
+
+
+def signed_numbers(a: Side, b: Side) -> list[str]:
+    """Each identifier followed by each of SIGNS."""
+    return [f"{i}{sign}" for i in range(max(len(a.bytes), len(b.bytes))) for sign in SIGNS]
+
+
 class Windows:
-    """The windows of some texts, each aligned once: text of its groups, their number, its links."""
+    """The windows of some texts, each kept once: numbers by the two tuples of identifiers."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
         self.numbers: dict[tuple[bytes, bytes], int] = {}
-        self.groups: list[str] = []
-        self.counts: list[tuple[int, int, int]] = []  # tokens of A, of B, groups
-        self.links: list[int] = []                    # pair codes, one per group, windows in a row
-
-    def _new(self, key: tuple[bytes, bytes]) -> int:
-        found = self.numbers[key] = len(self.groups)
-        self._align(*(memoryview(x).cast("i").tolist() for x in key))
-        return found
-
-    def _align(self, a: list[int], b: list[int]) -> None:
-        size_a, size_b, name_a, name_b = self.a.sizes, self.b.sizes, self.a.decimal, self.b.decimal
-        text, links, i, j, from_i, from_j, ahead = [], [], 0, 0, 0, 0, 0
-        while i < len(a):  # ahead: bytes by which side A leads side B
-            if ahead <= 0:
-                ahead += size_a[a[i]]
-                i += 1
-            else:
-                ahead -= size_b[b[j]]
-                j += 1
-            while ahead > 0 and j < len(b) and (i == len(a) or size_b[b[j]] <= ahead):
-                ahead -= size_b[b[j]]
-                j += 1
-            if ahead == 0 and j > from_j:
-                text.append(",".join([name_a[x] for x in a[from_i:i]]) + "|"
-                            + ",".join([name_b[x] for x in b[from_j:j]]))
-                links.append(a[i - 1] << B_BITS | b[j - 1])
-                from_i, from_j = i, j
-        self.groups.append(";".join(text))
-        self.counts.append((len(a), len(b), len(text)))
-        self.links += links
+
+    def aligned(self, order: np.ndarray) -> tuple[np.ndarray, Aligned]:
+        """All windows, those in ``order`` first to last: tokens of A, of B and groups of each; their alignment."""
+        sizes = np.array([(len(x), len(y)) for x, y in self.numbers], np.int64).reshape(-1, 2) // 4
+        first = np.stack([_starts(sizes[:, 0]), _starts(sizes[:, 1])], 1)
+        ids = [np.frombuffer(b"".join([key[side] for key in self.numbers]), np.int32)[
+            _ranges(first[order, side], sizes[order, side])] for side in (0, 1)]
+        told = Aligned(self.a, self.b, *ids, sizes[order])
+        return np.column_stack([sizes[order], told.groups]), told
 
     def of_text(self, text: str | None) -> list[int]:
         """The numbers of a text's windows; none when it has no tokens."""
@@ -195,12 +219,10 @@ class Windows:
                                        return_indices=True)
         cut_a = [0, *((before_a[at_a] + 1) * 4).tolist(), 4 * len(a)]
         cut_b = [0, *((before_b[at_b] + 1) * 4).tolist(), 4 * len(b)]
-        raw_a, raw_b, get, out = a.tobytes(), b.tobytes(), self.numbers.get, []
-        for i, x, j, y in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]):
-            key = (raw_a[i:x], raw_b[j:y])
-            found = get(key)
-            out.append(self._new(key) if found is None else found)
-        return out
+        raw_a, raw_b, numbers = a.tobytes(), b.tobytes(), self.numbers
+        number = numbers.setdefault
+        return [number((raw_a[i:x], raw_b[j:y]), len(numbers))
+                for i, x, j, y in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -228,13 +250,18 @@ def _chunk_schema(key: T.DataType) -> T.StructType:
     ])
 
 
+def _sides(path_a: str, path_b: str) -> tuple[Side, Side, list[str]]:
+    a, b = map(Side, tokenizers(path_a, path_b))
+    return a, b, signed_numbers(a, b)
+
+
 def _packed(path_a: str, path_b: str, schema: T.StructType) -> Callable:
     from pyspark.sql.pandas.types import to_arrow_schema
     target = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, nth = TaskContext.get().partitionId(), 0
-        a, b = map(Side, tokenizers(path_a, path_b))
+        a, b, signed = kept_by_worker(f"sides {path_a} {path_b}", lambda: _sides(path_a, path_b))
         for batch in batches:
             for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
                 windows, places, per_text = Windows(a, b), [], []
@@ -244,24 +271,19 @@ def _packed(path_a: str, path_b: str, schema: T.StructType) -> Callable:
                     places.append(np.array(own, np.int32))
                 flat = np.concatenate(places)
                 # frequent windows get small numbers, which compress better
-                n = len(windows.groups)
+                n = len(windows.numbers)
                 seen = np.bincount(flat, minlength=n)
                 order = np.argsort(-seen, kind="stable")
                 rank = np.empty(n, np.int64)
                 rank[order] = np.arange(n)
-                sizes = np.array(windows.counts, np.int64).reshape(-1, 3)
-                first = np.cumsum(sizes[:, 2]) - sizes[:, 2]
-                per_window = sizes[order, 2]
-                nth_link = np.arange(per_window.sum()) - np.repeat(np.cumsum(per_window) - per_window, per_window)
-                every = np.array(windows.links, np.int64)[np.repeat(first[order], per_window) + nth_link]
-                pairs, numbers = np.unique(every, return_inverse=True)
-                counts = np.bincount(numbers, np.repeat(seen[order], per_window), len(pairs))
+                sizes, told = windows.aligned(order)
+                pairs, numbers = np.unique(told.links, return_inverse=True)
+                counts = np.bincount(numbers, np.repeat(seen[order], told.groups), len(pairs))
                 row = {
                     "chunk": (part << 32) + nth, "keys": batch.column(0).slice(lo, hi - lo).to_pylist(),
                     "windows": per_text, "places": _squeezed(rank[flat] if n else flat),
-                    "groups": zstandard.ZstdCompressor(level=1).compress(
-                        "\n".join([windows.groups[i] for i in order]).encode()),
-                    "sizes": _squeezed(sizes[order].ravel()),
+                    "groups": zstandard.ZstdCompressor(level=1).compress(told.written(signed).encode()),
+                    "sizes": _squeezed(sizes.ravel()),
                     "window_links": _squeezed(numbers), "pairs": pairs.tolist(),
                     "counts": counts.astype(np.int64).tolist()}
                 yield pa.RecordBatch.from_pylist([row], schema=target)

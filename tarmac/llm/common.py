@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +44,20 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
+def kept_by_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once by each Python worker and kept over its tasks.
+
+    Functions travel with the job by value, so each task has module globals of
+    its own; ``sys.modules`` is the worker's.  One value is kept under a name's
+    first word, the last one, so that a worker holds a bounded number of them.
+    """
+    held = sys.modules.setdefault("_tarmac_kept", ModuleType("_tarmac_kept")).__dict__
+    kind = name.split()[0]
+    if held.get(kind, (None,))[0] != name:
+        held[kind] = (name, make())
+    return held[kind][1]
+
+
 def free_name(wanted: str, taken: list[str]) -> str:
     """A column name that no column of ``taken`` has (names compare without case)."""
     low, name = {t.lower() for t in taken}, wanted
