@@ -89,11 +89,15 @@ _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 AT = re.compile(rf"[ ]?{_OPEN}[ ]?(?:at|@)[ ]?{_SHUT}[ ]?|(?<=[A-Za-z0-9])(?:_at_|[ ]@[ ])(?=[A-Za-z0-9])",
                 re.I)
 DOT = re.compile(rf"[ ]?{_OPEN}[ ]?(?:dot|\.)[ ]?{_SHUT}[ ]?|(?<=[A-Za-z0-9])_dot_(?=[A-Za-z0-9])", re.I)
-#: bare words only as a whole: ``name at host dot tld``, or digits with dots between them
-BARE = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:\.|[ ]dot[ ])[A-Za-z0-9_%+-]+)*"
-                  r"(?:[ ]at[ ]|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
-                  r"(?:[ ]dot[ ][A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*)+"
-                  r"|\b[0-9]{1,3}(?:[ ]dot[ ][0-9]{1,3}){3}\b", re.I)
+#: Bare words only as a whole: ``name at host dot tld``, or digits with dots between them.
+BARE_NAME = re.compile(r"[A-Za-z0-9_%+-]++", re.I)
+BARE_JOINT = re.compile(r"(?:\.|[ ]dot[ ])(?=[A-Za-z0-9_%+-])", re.I)
+BARE_HOST = re.compile(r"(?:[ ]at[ ]|@)[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+"
+                       r"(?:[ ]dot[ ][A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+)+", re.I)
+BARE_DIGITS = re.compile(r"\b[0-9]{1,3}(?:[ ]dot[ ][0-9]{1,3}){3}\b", re.I)
+BARE_START = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]|\b[0-9]", re.I)
+BARE_INSIDE = re.compile(r"[A-Za-z0-9._%+-]", re.I)
+BARE_DOT = re.compile(r"[ ]dot[ ]", re.I)
 BARE_PART = re.compile(r"[ ](at|dot)[ ]", re.I)
 BRACKETED = re.compile(rf"{_OPEN}[ ]?(?:at|@|dot|\.)[ ]?{_SHUT}")
 
@@ -242,13 +246,53 @@ def spelled_digits(r: Rewritten) -> None:
     r.replace(edits)
 
 
+def bare_spans(text: str) -> Iterator[Span]:
+    """Addresses in bare words, leftmost, each as long as its name reaches; time in proportion to the text.
+
+    What follows a word of a name hangs on where the word ends, not on where the
+    name began, so it is worked out once for each end.
+    """
+    if not BARE_DOT.search(text):
+        return
+    reach: dict[int, int] = {}  # end of a word of a name -> end of the address from there, or -1
+
+    def named(at: int) -> int:
+        ends = []
+        while True:
+            end = BARE_NAME.match(text, at).end()
+            ends.append(end)
+            joint = None if end in reach else BARE_JOINT.match(text, end)
+            if joint is None:
+                break
+            at = joint.end()
+        found = -1
+        for end in reversed(ends):
+            if end not in reach:
+                host = BARE_HOST.match(text, end) if found < 0 else None
+                reach[end] = host.end() if host else found
+            found = reach[end]
+        return found
+
+    done = 0
+    for m in BARE_START.finditer(text):
+        at = m.start()
+        if at < done:
+            continue
+        end = -1 if at and BARE_INSIDE.match(text, at - 1) else named(at)
+        if end < 0 and (digits := BARE_DIGITS.match(text, at)):
+            end = digits.end()
+        if end >= 0:
+            yield at, end
+            done = end
+
+
 def at_and_dot(r: Rewritten) -> None:
     r.replace([(*m.span(), ".") for m in DOT.finditer(r.text)])
     r.replace([(*m.span(), "@") for m in AT.finditer(r.text)])
     edits = []
-    for m in BARE.finditer(r.text):
+    for span in bare_spans(r.text):
         edits += [(*p.span(), "@" if p[1].lower() == "at" else ".")
-                  for p in BARE_PART.finditer(r.text, *m.span())]
+                  for p in BARE_PART.finditer(r.text, *span)]
     r.replace(edits)
 
 

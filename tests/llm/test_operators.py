@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -105,7 +106,6 @@ def test_recurrent_model_is_a_distribution_and_learns():
         state = f * state + (1 - f) * np.tanh(p["Z"][code])
         steps.append(state)
     assert np.allclose(recurrent.states(p, x), steps, atol=1e-5)
-    # the gradient of a window agrees with a difference quotient
     codes = np.tile([1, 2, 5, 3, 0], 4000)
     trainer = recurrent.Trainer(recurrent.initial(shape, np.ones(7)), shape, 0.05)
     before = recurrent.score_stream(trainer.p, shape, codes).mean()
@@ -114,6 +114,86 @@ def test_recurrent_model_is_a_distribution_and_learns():
     assert recurrent.score_stream(trainer.p, shape, codes).mean() > before / 3
 
 
+def test_gradient_agrees_with_difference_quotients_and_padding_counts_for_nothing():
+    rng = np.random.default_rng(5)
+    shape = recurrent.Shape(7, (0, 3, 4), 5)
+    p = {k: v.astype(float) + rng.normal(0, 0.3, v.shape) for k, v in recurrent.initial(shape, np.ones(7)).items()}
+    x, y = rng.integers(0, 7, (2, 6, 3))
+    live = np.ones((6, 3), bool)
+    live[4:, 2] = False
+    before = rng.normal(0, 0.5, (3, 5))
+
+    def loss():
+        h, state = [], before
+        f, z = recurrent._gates(p, x)
+        for t in range(6):
+            state = f[t] * state + (1 - f[t]) * z[t]
+            h.append(state)
+        told = recurrent.log_probabilities(p, shape, np.concatenate(h), y.reshape(-1))
+        return -told[live.reshape(-1)].mean()
+
+    trainer, seen = recurrent.Trainer(p, shape, 0.05), {}
+    trainer._update = seen.update
+    trainer.window(x, y, before, live)
+    for name, grad in seen.items():
+        for at in np.ndindex(p[name].shape):
+            if name == "F" and at[0] == 0:  # the gate of the end is fixed
+                continue
+            old, step = p[name][at], 1e-5
+            p[name][at] = old + step
+            up = loss()
+            p[name][at] = old - step
+            down, p[name][at] = loss(), old
+            assert abs((up - down) / (2 * step) - grad[at]) < 1e-6, (name, at)
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 5, 130, 8191, 8193, 8500])
+def test_every_token_is_learnt(n):
+    shape, told = recurrent.Shape(9, (0, 3, 4), 3), Counter()
+    trainer = recurrent.Trainer(recurrent.initial(shape, np.ones(9)), shape, 0.05)
+    window = trainer.window
+
+    def watched(x, y, before, live):
+        told.update(y[live].tolist())
+        assert x[0, 0] is not None and live.shape == y.shape
+        return window(x, y, before, live)
+
+    trainer.window = watched
+    codes = np.random.default_rng(n).integers(0, 9, n)
+    trainer.learn(codes)
+    assert told == Counter(codes.tolist())
+
+
+BARE = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:\.|[ ]dot[ ])[A-Za-z0-9_%+-]+)*"
+                  r"(?:[ ]at[ ]|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
+                  r"(?:[ ]dot[ ][A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*)+"
+                  r"|\b[0-9]{1,3}(?:[ ]dot[ ][0-9]{1,3}){3}\b", re.I)
+
+
+def test_bare_addresses_equal_one_pattern():
+    rng = random.Random(11)
+    parts = [" dot ", " at ", "@", ".", " ", "a", "b1", "7", "210", "dot", "at", "AT", " DOT ", "-", "_", "ſ", "é", "\n"]
+    found = 0
+    for _ in range(60_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 24)))
+        want = [m.span() for m in BARE.finditer(text)]
+        assert list(pii.bare_spans(text)) == want, text
+        found += len(want)
+    assert found > 1000
+
+
+@pytest.mark.parametrize("part", ["a dot ", "a at ", "a@", "1 dot ", "a.", "a dot a@a dot ", "one two ", "a [at] ", "( at ",
+                                  "+1 ", "1-", "1.", "a_at_", "a. dot "])
+def test_hostile_texts_take_time_in_proportion(part):
+    def took(n):
+        text = part * (n // len(part)) + "x"
+        start = time.process_time()
+        pii.all_spans(text)
+        return time.process_time() - start
+    took(20_000)
+    assert took(1_000_000) < 100 * took(50_000) + 2
+
+
 def test_held_out_documents_score_above_base(spark):
     rng = random.Random(3)
     a, b = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]
