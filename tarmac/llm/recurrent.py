@@ -130,16 +130,18 @@ class Trainer:
         """One pass over texts in a row, each ended by code 0."""
         x = np.concatenate([[0], codes[:-1]])
         lanes = int(np.clip(len(x) // (64 * WINDOW), 4, 512))
-        length = len(x) // lanes
-        if length == 0:
-            lanes, length = 1, len(x)
-        x, y = (a[:lanes * length].reshape(lanes, length) for a in (x, codes))
+        length = max(-(-len(x) // lanes), 1)
+        # the last lanes are filled up with codes that count for nothing
+        live = np.arange(lanes * length) < len(x)
+        x, y = (np.pad(a, (0, len(live) - len(a))) for a in (x, codes))
+        x, y, live = (a.reshape(lanes, length) for a in (x, y, live))
         h = np.zeros((lanes, self.shape.hidden), np.float32)
         for lo in range(0, length, WINDOW):
-            h = self.window(x[:, lo:lo + WINDOW].T, y[:, lo:lo + WINDOW].T, h)
+            part = slice(lo, lo + WINDOW)
+            h = self.window(x[:, part].T, y[:, part].T, h, live[:, part].T)
 
-    def window(self, x: np.ndarray, y: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """Forward, backward and one update on codes (time, lane); the last states."""
+    def window(self, x: np.ndarray, y: np.ndarray, before: np.ndarray, live: np.ndarray) -> np.ndarray:
+        """Forward, backward and one update on the live codes (time, lane); the last states."""
         p, shape = self.p, self.shape
         steps, lanes = x.shape
         f, z = _gates(p, x)
@@ -148,15 +150,17 @@ class Trainer:
         for t in range(steps):
             h[t] = last = f[t] * last + (1 - f[t]) * z[t]
         flat, target = h.reshape(steps * lanes, -1), y.reshape(-1)
-        n = len(target)
+        n, counted = len(target), live.reshape(-1)
+        weight = 1 / max(int(counted.sum()), 1)
         cls = shape.class_of[target]
         g: Params = {"W": np.zeros_like(p["W"]), "w": np.zeros_like(p["w"])}
         d = np.exp(_log_softmax(flat @ p["C"] + p["c"]))
         d[np.arange(n), cls] -= 1
-        d /= n
+        d *= weight * counted[:, None].astype(d.dtype)
         g["C"], g["c"] = flat.T @ d, d.sum(0)
         dh = d @ p["C"].T
         order = np.argsort(cls, kind="stable")
+        order = order[counted[order]]
         cuts = np.searchsorted(cls[order], np.arange(len(shape.starts) + 1))
         for k, (a, b) in enumerate(shape.ranges()):
             rows = order[cuts[k]:cuts[k + 1]]
@@ -164,7 +168,7 @@ class Trainer:
                 own = flat[rows]
                 e = np.exp(_log_softmax(own @ p["W"][a:b].T + p["w"][a:b]))
                 e[np.arange(len(rows)), target[rows] - a] -= 1
-                e /= n
+                e *= weight
                 g["W"][a:b], g["w"][a:b] = e.T @ own, e.sum(0)
                 dh[rows] += e @ p["W"][a:b]
         dh = dh.reshape(h.shape)
