@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.llm.common import bound_batches, kept_by_worker, materialise
-from tarmac.llm.words import chunks
+from tarmac.llm.words import chunks, mix
 
 CHUNK_BYTES = 6_000_000
 MARK = "▁"
@@ -188,41 +188,56 @@ def signed_numbers(a: Side, b: Side) -> list[str]:
 
 
 class Windows:
-    """The windows of some texts, each kept once: numbers by the two tuples of identifiers."""
+    """The windows of some texts in a row, and the distinct ones among them.
 
-    def __init__(self, a: Side, b: Side):
-        self.a, self.b = a, b
-        self.numbers: dict[tuple[bytes, bytes], int] = {}
+    Windows are told apart by their tuples of identifiers: they are numbered by
+    a 64-bit hash, and every window is compared with the first of its number;
+    should one differ, all are numbered anew by another hash.
+    """
+
+    def __init__(self, a: Side, b: Side, ids: tuple[np.ndarray, np.ndarray]):
+        self.sides, self.ids = (a, b), ids
+        ends = self._anchors() if len(ids[0]) else (np.zeros(0, np.int64),) * 2
+        self.ends = ends[0]                               # in tokens of A
+        self.sizes = np.stack([np.diff(e, prepend=0) for e in ends], 1)
+        self.first = np.stack([_starts(n) for n in self.sizes.T], 1)
+        seed = 0
+        while not self._numbered(seed):
+            seed += 1
+
+    def _anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens up to the shared ends that a space-marked token follows on both sides; every text starts so."""
+        before = [np.append(np.flatnonzero(side.spaced[x[1:]]), len(x) - 1) for side, x in zip(self.sides, self.ids)]
+        offsets = [np.cumsum(side.size[x])[at] for side, x, at in zip(self.sides, self.ids, before)]
+        _, at_a, at_b = np.intersect1d(*offsets, assume_unique=True, return_indices=True)
+        return before[0][at_a] + 1, before[1][at_b] + 1
+
+    def _numbered(self, seed: int) -> bool:
+        step, keys = np.uint64(0x9E3779B97F4A7C15), np.full(len(self.sizes), seed, np.uint64)
+        for side in (0, 1):
+            n = self.sizes[:, side]
+            place = _ranges(np.zeros(len(n), np.int64), n).astype(np.uint64)
+            told = mix(self.ids[side].astype(np.uint64) + step * (place + np.uint64(seed)))
+            keys = mix(keys * step + np.add.reduceat(told, self.first[:, side])) if len(n) else keys
+        _, self.kept, self.numbers = np.unique(keys, return_index=True, return_inverse=True)
+        like = self.kept[self.numbers]
+        return bool((self.sizes[like] == self.sizes).all()) and all(
+            (x[_ranges(self.first[like, side], self.sizes[:, side])] == x).all() for side, x in enumerate(self.ids))
 
     def aligned(self, order: np.ndarray) -> tuple[np.ndarray, Aligned]:
-        """All windows, those in ``order`` first to last: tokens of A, of B and groups of each; their alignment."""
-        sizes = np.array([(len(x), len(y)) for x, y in self.numbers], np.int64).reshape(-1, 2) // 4
-        first = np.stack([_starts(sizes[:, 0]), _starts(sizes[:, 1])], 1)
-        ids = [np.frombuffer(b"".join([key[side] for key in self.numbers]), np.int32)[
-            _ranges(first[order, side], sizes[order, side])] for side in (0, 1)]
-        told = Aligned(self.a, self.b, *ids, sizes[order])
-        return np.column_stack([sizes[order], told.groups]), told
-
-    def of_text(self, text: str | None) -> list[int]:
-        """The numbers of a text's windows; none when it has no tokens."""
-        if not text:
-            return []
-        whole = (" " + text).encode("utf-8", "surrogatepass")
-        a = self.a.tokens(text, whole)
-        b = self.b.tokens(text, whole) if a is not None else None
-        if a is None or b is None:
-            return []
-        ends_a, ends_b = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b])
-        before_a = np.flatnonzero(self.a.spaced[a[1:]])   # tokens that a space-marked one follows
-        before_b = np.flatnonzero(self.b.spaced[b[1:]])
-        _, at_a, at_b = np.intersect1d(ends_a[before_a], ends_b[before_b], assume_unique=True,
-                                       return_indices=True)
-        cut_a = [0, *((before_a[at_a] + 1) * 4).tolist(), 4 * len(a)]
-        cut_b = [0, *((before_b[at_b] + 1) * 4).tolist(), 4 * len(b)]
-        raw_a, raw_b, numbers = a.tobytes(), b.tobytes(), self.numbers
-        number = numbers.setdefault
-        return [number((raw_a[i:x], raw_b[j:y]), len(numbers))
-                for i, x, j, y in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+        """The distinct windows in ``order``: tokens of A, of B and groups of each; their alignment."""
+        kept = self.kept[order]
+        ids = [x[_ranges(self.first[kept, side], self.sizes[kept, side])] for side, x in enumerate(self.ids)]
+        told = Aligned(*self.sides, *ids, self.sizes[kept])
+        return np.column_stack([self.sizes[kept], told.groups]), told
+
+
+def tokens_of(a: Side, b: Side, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """A text's tokens on both sides; none when a side's bytes are not space + text."""
+    whole = (" " + text).encode("utf-8", "surrogatepass") if text else b""
+    own_a = a.tokens(text, whole) if text else None
+    own_b = b.tokens(text, whole) if own_a is not None else None
+    return (own_a, own_b) if own_b is not None else (np.zeros(0, np.int32),) * 2
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -264,14 +279,12 @@ def _packed(path_a: str, path_b: str, schema: T.StructType) -> Callable:
         a, b, signed = kept_by_worker(f"sides {path_a} {path_b}", lambda: _sides(path_a, path_b))
         for batch in batches:
             for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
-                windows, places, per_text = Windows(a, b), [], []
-                for value in batch.column(1).slice(lo, hi - lo):
-                    own = windows.of_text(value.as_py())
-                    per_text.append(len(own))
-                    places.append(np.array(own, np.int32))
-                flat = np.concatenate(places)
+                each = [tokens_of(a, b, value.as_py()) for value in batch.column(1).slice(lo, hi - lo)]
+                windows = Windows(a, b, tuple(np.concatenate(x) for x in zip(*each)))
+                until = np.searchsorted(windows.ends, np.cumsum([len(x) for x, _ in each]), "right")
+                flat = windows.numbers
                 # frequent windows get small numbers, which compress better
-                n = len(windows.numbers)
+                n = len(windows.kept)
                 seen = np.bincount(flat, minlength=n)
                 order = np.argsort(-seen, kind="stable")
                 rank = np.empty(n, np.int64)
@@ -281,7 +294,7 @@ def _packed(path_a: str, path_b: str, schema: T.StructType) -> Callable:
                 counts = np.bincount(numbers, np.repeat(seen[order], told.groups), len(pairs))
                 row = {
                     "chunk": (part << 32) + nth, "keys": batch.column(0).slice(lo, hi - lo).to_pylist(),
-                    "windows": per_text, "places": _squeezed(rank[flat] if n else flat),
+                    "windows": np.diff(until, prepend=0).tolist(), "places": _squeezed(rank[flat] if n else flat),
                     "groups": zstandard.ZstdCompressor(level=1).compress(told.written(signed).encode()),
                     "sizes": _squeezed(sizes.ravel()),
                     "window_links": _squeezed(numbers), "pairs": pairs.tolist(),

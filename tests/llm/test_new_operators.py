@@ -281,3 +281,21 @@ def test_rows_that_share_an_identifier_keep_their_own_lines(spark):
     assert texts["r"] == "alpha beta gamma delta" and texts["t"] is None and texts["u"] == ""
     named = spark.createDataFrame([("b", "x y z w"), ("a", "x y z w")], "doc_id string, text string")
     assert {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(named).collect()} == {"a": "x y z w", "b": ""}
+
+
+def test_windows_are_told_apart_whatever_their_hashes(monkeypatch):
+    """With hashes that collide at first, numbers come from a later seed."""
+    a, b = map(alignment.Side, alignment.tokenizers(*PATHS))
+    texts = ["one two three", "two one", "", None, "three  two\none", "one two three"]
+    each = [alignment.tokens_of(a, b, t) for t in texts]
+    ids = tuple(np.concatenate(x) for x in zip(*each))
+    plain, asked, mix = alignment.Windows(a, b, ids), [], alignment.mix
+
+    def weak(x):
+        asked.append(1)
+        return x * np.uint64(0) if len(asked) <= 4 else mix(x)
+
+    monkeypatch.setattr(alignment, "mix", weak)
+    again = alignment.Windows(a, b, ids)
+    same = lambda w: [[i == j for j in w.numbers] for i in w.numbers]
+    assert len(asked) > 4 and same(again) == same(plain) and len(plain.kept) < len(plain.numbers)
