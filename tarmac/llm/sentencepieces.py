@@ -56,7 +56,7 @@ from tarmac.llm.words import chunks
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 FOLD_CHARS = 62
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 4_000_000
 MOST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
 
@@ -159,7 +159,7 @@ PACKED = ("chunk long, doc_ids array<long>, sizes array<long>, digests array<bin
           "words array<string>, places binary")
 
 
-def _pack(pattern: re.Pattern) -> Callable:
+def _pack(pattern: re.Pattern, marks_are_spaces: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         squeeze = zstandard.ZstdCompressor(level=3)
@@ -170,7 +170,8 @@ def _pack(pattern: re.Pattern) -> Callable:
                 for value in batch.column(1).slice(lo, hi - lo):
                     text = value.as_py()
                     words = words_of(text, pattern)
-                    digests.append(hashlib.sha256((text or "").encode("utf-8", "replace")).digest())
+                    source = (text or "").replace(MARK, " ") if marks_are_spaces else text or ""
+                    digests.append(hashlib.sha256(source.encode("utf-8", "replace")).digest())
                     places.append(np.array([get(w, len(numbers)) for w in words], np.int32))
                     sizes.append(len(words))
                 # frequent words get small numbers, which compress better
@@ -329,8 +330,8 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
     return told.unionByName(long_.mapInArrow(_long_words(model), "word string, ids array<int>"))
 
 
-def _assemble(written: dict[int, bytes]) -> Callable:
-    """A chunk with its words' pieces -> per document the pieces, and whether each word's spell the word."""
+def _assemble() -> Callable:
+    """A chunk with its words' pieces -> per document the pieces."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         places, sizes = _places(left["places"][0].as_py()), np.array(left["sizes"][0].as_py(), np.int64)
         at = right["place"].to_numpy()
@@ -340,47 +341,38 @@ def _assemble(written: dict[int, bytes]) -> Callable:
         ends = lists.offsets.to_numpy().astype(np.int64)
         flat = lists.values.to_numpy()
         n = int(at.max()) + 1 if len(at) else 0
-        begin, length, exact = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+        begin, length = np.zeros(n, np.int64), np.zeros(n, np.int64)
         begin[at], length[at] = ends[:-1], np.diff(ends)
-        words = right["w"].to_pylist()
-        joined = [b"".join(map(written.__getitem__, x)) for x in lists.to_pylist()]
-        exact[at] = [a == b.encode("utf-8", "replace") for a, b in zip(joined, words)]
         counts = length[places]
         total = np.append(0, np.cumsum(counts))
         ids = flat[np.repeat(begin[places] - total[:-1], counts) + np.arange(total[-1])] \
             if len(places) else flat[:0]
         docs = np.append(0, np.cumsum(sizes))
-        bad = np.append(0, np.cumsum(~exact[places]))
         return pa.table({
             "doc_id": left["doc_ids"].combine_chunks().flatten(),
             "n_pieces": pa.array(np.diff(total[docs])),
             "piece_ids": pa.ListArray.from_arrays(pa.array(total[docs].astype(np.int32)),
                                                   pa.array(ids.astype(np.int32))),
-            "round_trip": pa.array(np.diff(bad[docs]) == 0),
             "digest": left["digests"].combine_chunks().flatten()})
     return run
 
 
-def _encode(docs: DataFrame, model_path: str, key: str, text: str) -> DataFrame:
-    """One row per document: doc_id, n_pieces, piece_ids, round_trip (of its words), digest of its text."""
+def _encode(docs: DataFrame, model_path: str, key: str, text: str, marks_are_spaces: bool) -> DataFrame:
+    """One row per document: doc_id, n_pieces, piece_ids, digest of its text."""
     model = Model.load(model_path)
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    packed = materialise(plain.mapInArrow(_pack(word_pattern(model)), PACKED), "pieces-chunks")
+    packed = materialise(plain.mapInArrow(_pack(word_pattern(model), marks_are_spaces), PACKED), "pieces-chunks")
     listed = packed.select(F.col("chunk").alias("of"), F.posexplode("words").alias("place", "w"))
     known = materialise(encode_words(listed.select(F.col("w").alias("word")).distinct(), model), "pieces-words")
-    met = listed.join(known, listed["w"] == known["word"]).select("of", "place", "w", "ids")
+    met = listed.join(known, listed["w"] == known["word"]).select("of", "place", "ids")
     whole = packed.select("chunk", "doc_ids", "sizes", "digests", "places")
     return whole.groupBy("chunk").cogroup(met.groupBy("of")).applyInArrow(
-        _assemble(model.written()),
-        "doc_id long, n_pieces long, piece_ids array<int>, round_trip boolean, digest binary")
+        _assemble(), "doc_id long, n_pieces long, piece_ids array<int>, digest binary")
 
 
 def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_pieces, piece_ids, and whether each word's pieces spell the word.
-
-    A word mark in the text counts as a space here; ``encode_and_decode`` compares whole texts.
-    """
-    return _encode(docs, model_path, key, text).drop("digest")
+    """As ``encode_and_decode``, but a word mark in the text counts as a space."""
+    return _told(_encode(docs, model_path, key, text, True), model_path)
 
 
 def _decode(known: dict[int, bytes], at: int) -> Callable:
@@ -412,8 +404,12 @@ def decode_documents(encoded: DataFrame, model_path: str, key: str = "doc_id",
     return columns.mapInArrow(_decode(Model.load(model_path).written(), len(columns.columns) - 1), schema)
 
 
-def encode_and_decode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_pieces, piece_ids, and whether decoding gives the text again."""
-    back = decode_documents(_encode(docs, model_path, key, text), model_path, others=("n_pieces", "digest"))
+def _told(encoded: DataFrame, model_path: str) -> DataFrame:
+    back = decode_documents(encoded, model_path, others=("n_pieces", "digest"))
     same = F.sha2(F.encode("text", "UTF-8"), 256) == F.lower(F.hex("digest"))
     return back.select("doc_id", "n_pieces", "piece_ids", same.alias("round_trip"))
+
+
+def encode_and_decode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_pieces, piece_ids, and whether decoding gives the text again."""
+    return _told(_encode(docs, model_path, key, text, False), model_path)
