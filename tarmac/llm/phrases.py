@@ -21,7 +21,7 @@ Tasks know the admitted phrases by a Bloom filter of fixed size, so what is
 broadcast does not grow with the corpus.  A false positive costs a counted
 phrase too many and changes nothing: the filter decides what is counted, the
 counts decide what is frequent, and the expansion passes leave out just what
-the filter of the first one admitted, and what is known to be frequent.
+the full pass has counted under its filter, and what is known to be frequent.
 
 Cutting a phrase after its first k words gives score floor(2000000 a / (l + r));
 the least over k counts (the smaller k among equals).  A candidate is dropped
@@ -106,7 +106,8 @@ def count_phrases(texts: list[str | None], lang: str, sizes: range, admitted: Fi
 
     A phrase of one word is always admitted, a longer one if ``admitted`` holds
     the parts without its last and its first word (``everything``: always).
-    Left out is what ``earlier`` admits.  Phrases are told apart exactly.
+    Left out is what a pass with ``earlier`` as its filter has counted.  Phrases
+    are told apart exactly.
     With ``fresh``, only the words are read that lie near a phrase it holds.
     """
     ids, words = number_pieces(texts)
@@ -138,7 +139,7 @@ def count_phrases(texts: list[str | None], lang: str, sizes: range, admitted: Fi
             if size > 1 and not everything:
                 out = _admits(admitted, parts, lang)
             if earlier is not None and size > 1 and out.any():
-                out[out] = ~_admits(earlier, [p[out] for p in parts], lang)
+                out[out] = ~_counts(earlier, [p[out] for p in parts], lang)
             told = np.flatnonzero(out)
             if len(told):
                 rows = [[words[i] for i in column] for column in spell[told].T]
@@ -177,6 +178,20 @@ def _admits(f: Filter, parts: list[np.ndarray], lang: str) -> np.ndarray:
     return out
 
 
+def _counts(f: Filter, parts: list[np.ndarray], lang: str) -> np.ndarray:
+    """Which phrases a pass with this filter counts: those of which it holds every part.
+
+    Both parts of one word less are not enough: the filter may hold them by mistake,
+    and the pass has not come to them if it does not hold something inside.
+    """
+    out = np.ones(len(parts[0]), bool)
+    for size in range(1, len(parts)):
+        for at in range(len(parts) - size + 1):
+            if out.any():
+                out[out] = f.holds(phrase_hashes([p[out] for p in parts[at:at + size]], lang))
+    return out
+
+
 def _counted(sizes: range, admitted, earlier, everything: bool, fresh) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = Filter(admitted.value) if admitted is not None else None

@@ -176,6 +176,21 @@ def test_frequent_phrases_equal_brute_force(docs, share):
     assert {r.lang: r.n for r in totals.collect()} == words
 
 
+def test_an_expansion_counts_all_that_a_crowded_filter_left_out():
+    """False positives of the filter: what the first pass did not count, the second one does."""
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in range(3000))
+    crowded = phrases.Filter(rng.integers(0, 256, phrases.FILTER_BITS // 8, np.uint8)
+                             | rng.integers(0, 256, phrases.FILTER_BITS // 8, np.uint8))
+    full = phrases.Filter(np.full(phrases.FILTER_BITS // 8, 255, np.uint8))
+    told = lambda *a: [p for found, _, _ in phrases.count_phrases([text], "en", *a) for p in found]
+    first = told(range(1, 5), crowded, None, False)
+    second = told(range(2, 5), full, crowded, False)
+    w = text.split()
+    want = {" ".join(w[i:i + k]) for k in range(1, 5) for i in range(len(w) - k + 1)}
+    assert set(first) | set(second) == want and not set(first) & set(second)
+
+
 def test_collocations_by_their_definition(docs, none):
     f = brute_phrases([(r[2], r[1]) for r in ROWS], 20)
     best = defaultdict(list)
