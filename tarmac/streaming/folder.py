@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tarmac.plans import base
 from tarmac.schema import RESULTS, result_key
 from tarmac.streaming import sinks
-from tarmac.streaming.pace import AS_IT_COMES, Pace
+from tarmac.streaming.pace import AS_IT_COMES, Pace, state_partitions
 from tarmac.streaming.progress import Progress
 from tarmac.streaming.questions import (DEFAULT_WATERMARK, best_legs_stream, data_rows, question_stream,
                                         trips_stream)
@@ -93,8 +93,9 @@ def start_question(spark: SparkSession, folder: str, name: str, run_dir: str, mo
             batch.unpersist()
 
     out = question_stream(_stream(spark, folder, kind, pace, source), name)
-    query = pace.writer(out.writeStream.outputMode(mode).foreachBatch(sink)
-                        .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
+    with state_partitions(spark):
+        query = pace.writer(out.writeStream.outputMode(mode).foreachBatch(sink)
+                            .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
     return Job(query, lambda: sinks.read_table(spark, table, RESULTS[name][0]))
 
 
@@ -134,8 +135,9 @@ def start_all_questions(spark: SparkSession, folder: str, run_dir: str, mode: st
     ``update`` publishes the answers after each micro-batch, ``complete`` when they are asked for.
     """
     stream = _stream(spark, folder, kind, pace, source)
-    query = pace.writer(stream.writeStream.foreachBatch(all_questions_sink(run_dir, mode))
-                        .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
+    with state_partitions(spark):
+        query = pace.writer(stream.writeStream.foreachBatch(all_questions_sink(run_dir, mode))
+                            .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
     return Job(query, lambda: published(spark, run_dir))
 
 

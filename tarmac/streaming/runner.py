@@ -17,7 +17,7 @@ from tarmac.schema import result_key
 from tarmac.session import scratch_dir
 from tarmac.streaming import late, sinks
 from tarmac.streaming.folder import all_questions_sink
-from tarmac.streaming.pace import AS_IT_COMES, Pace
+from tarmac.streaming.pace import AS_IT_COMES, Pace, state_partitions
 from tarmac.streaming.progress import Progress
 from tarmac.streaming.questions import (DEFAULT_WATERMARK, best_legs_stream,
                                         question_stream, trips_stream)
@@ -25,12 +25,17 @@ from tarmac.streaming.source import Replay, read_stream
 
 
 def _drive(replay: Replay, start: Callable[[], StreamingQuery], sentinel: bool) -> dict:
-    """Feed the slices one by one to a running query; return summed progress counters."""
+    """Feed the slices one by one to a running query; return summed progress counters.
+
+    With a sentinel, the query is one of event time, whose state holds what a whole slice brings.
+    """
+    at_once = max(replay.sizes(), default=0) if sentinel else 0
     if replay.keys:
         replay.write_slice(replay.keys[0])
     else:
         replay.write_empty()
-    q = start()
+    with state_partitions(replay.frame.sparkSession, at_once):
+        q = start()
     progress = Progress()
     try:
         for key in replay.keys[1:]:
@@ -137,14 +142,15 @@ def run_late_flights(spark: SparkSession, flights: DataFrame, slice_by: str = "y
     """
     run_dir = run_dir or scratch_dir(spark, "stream-late-flights")
     replay = Replay(flights, f"{run_dir}/stage", slice_by, shuffled=True)
-    routed = f"{run_dir}/route"
+    routed, total = f"{run_dir}/route", sum(replay.sizes())  # all on-time flights may be one micro-batch
     _drive(replay, lambda: late.start_routing(spark, read_stream(spark, replay.stage_dir), routed, watermark),
            sentinel=True)
     # all on-time flights are there, the sentinels among them: one run to the end closes every day
     ends = Pace(available_now=True, max_files=pace.max_files, max_bytes=pace.max_bytes)
     legs = best_legs_stream(late.on_time_stream(spark, routed, ends), watermark)
-    query = ends.writer(legs.writeStream.outputMode("append").format("parquet").option("path", f"{run_dir}/table")
-                        .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
+    with state_partitions(spark, total):
+        query = ends.writer(legs.writeStream.outputMode("append").format("parquet").option("path", f"{run_dir}/table")
+                            .option("checkpointLocation", f"{run_dir}/checkpoint")).start()
     query.awaitTermination()
     table = spark.read.schema(legs.schema).parquet(f"{run_dir}/table")
     return table, late.late_flights(spark, routed), late.counts(spark, routed)

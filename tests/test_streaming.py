@@ -12,8 +12,9 @@ from tarmac.plans.base import answers, base_aggregate
 from tarmac.plans.questions import answer
 from tarmac.sources.curated import curated_flights
 from tarmac.sources.raw import write_clean_text, write_raw_csv
-from tarmac.streaming import folder, runner, sinks
+from tarmac.streaming import folder, pace, runner, sinks
 from tarmac.streaming.pace import Pace
+from tarmac.streaming.source import STREAM_SCHEMA, Replay
 from tests.conftest import SF_SMALL, duck_rows, rows
 
 
@@ -90,6 +91,49 @@ def test_upsert_is_idempotent_per_batch(spark, tmp_path):
     assert got == {"A": 1.0, "B": 5.0, "C": 3.0}
 
 
+@pytest.mark.parametrize("run", ["run_best_legs", "run_trips"])
+def test_state_is_dealt_by_cores_and_size(spark, tmp_path, run):
+    """Many shuffle partitions are not as many state stores, and the setting stays as it was."""
+    fl = spark.createDataFrame(
+        [(f"200{y}-01-0{d}", a, b, t) for y in (8, 9) for d in (1, 3) for a, b, t in
+         (("A", "B", "0900"), ("B", "C", "1500"))], "d string, origin string, dest string, crs_dep_time string").selectExpr(
+        "cast(d as date) flight_date", "1 day_of_week", "'C' unique_carrier", "'1' flight_num", "origin",
+        "dest", "crs_dep_time", "0.0D dep_delay", "1.0D arr_delay")
+    held, cores = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(cores + 5))
+    try:
+        got = getattr(runner, run)(spark, fl, run_dir=str(tmp_path))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(cores + 5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert _same(got, best_legs(fl) if run == "run_best_legs" else answer(fl, "q3")) and got.count()
+    for op in glob.glob(f"{tmp_path}/checkpoint/state/*"):
+        assert len([n for n in os.listdir(op) if n.isdigit()]) == cores
+
+
+def test_much_input_at_once_gets_more_state_partitions(spark):
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    with pace.state_partitions(spark, 1000 * pace.STATE_BYTES + 1):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1001"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == held
+
+
+def test_all_slices_are_staged_in_one_pass(spark, flights, tmp_path):
+    """The flights are read once, not once a slice; a watched folder gets whole slices one by one."""
+    replay = Replay(flights, f"{tmp_path}/stage")
+    first, second, *rest = replay.keys
+    replay.write_slice(first)
+    aside = replay.stage()
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{aside}/at=*")) == [f"at={k}" for k in (second, *rest)]
+    assert os.listdir(replay.stage_dir) == [f"00000-{first}"]
+    replay.write_slice(second)
+    for k in rest:
+        replay.write_slice(k)
+    got = spark.read.schema(STREAM_SCHEMA).parquet(f"{replay.stage_dir}/*/*.parquet")
+    assert _same(got.select(*flights.columns), flights)
+    assert got.filter("slice is null or slice != cast(year(flight_date) as string)").count() == 0
+
+
 # --- sinks that live long --------------------------------------------------------------
 
 def test_a_table_stays_small_over_many_batches(spark, tmp_path):
