@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from tarmac.plans.base import answers, base_aggregate
 from tarmac.plans.questions import answer
 from tarmac.sources.curated import curated_flights
 from tarmac.sources.raw import write_clean_text, write_raw_csv
-from tarmac.streaming import folder, pace, runner, sinks
+from tarmac.streaming import folder, pace, runner, sinks, source
 from tarmac.streaming.pace import Pace
 from tarmac.streaming.source import STREAM_SCHEMA, Replay
 from tests.conftest import SF_SMALL, duck_rows, rows
@@ -134,6 +135,26 @@ def test_all_slices_are_staged_in_one_pass(spark, flights, tmp_path):
     assert got.filter("slice is null or slice != cast(year(flight_date) as string)").count() == 0
 
 
+def test_a_staged_slice_is_cut_into_row_groups_without_the_event_time(spark, flights, tmp_path, monkeypatch):
+    """A slice in one file is still read by many tasks, and questions without event time do not take it."""
+    monkeypatch.setattr(source, "GROUP_BYTES", 4_000)
+    replay = Replay(flights.coalesce(1), f"{tmp_path}/stage")
+    file, = glob.glob(f"{replay.stage()}/at={replay.keys[1]}/*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 1
+    assert "ts" not in pq.ParquetFile(file).schema_arrow.names
+    for k in replay.keys:
+        replay.write_slice(k)
+    replay.write_sentinel()
+    stream = source.read_stream(spark, replay.stage_dir)
+    assert stream.schema.names == STREAM_SCHEMA.names
+    run = (stream.writeStream.trigger(availableNow=True).format("parquet").option("path", f"{tmp_path}/out")
+           .option("checkpointLocation", f"{tmp_path}/checkpoint").start())
+    run.awaitTermination()
+    got = spark.read.schema(STREAM_SCHEMA).parquet(f"{tmp_path}/out")
+    assert _same(got.filter("slice != 'sentinel'").select(*flights.columns, "ts"), source.with_event_time(flights))
+    assert sorted(r[0] for r in got.filter("slice = 'sentinel'").select(F.hour("ts")).collect()) == [0, 12]
+
+
 # --- sinks that live long --------------------------------------------------------------
 
 def test_a_table_stays_small_over_many_batches(spark, tmp_path):
