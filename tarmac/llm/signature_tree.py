@@ -18,7 +18,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BITS_PER_SHINGLE = 4
+#: Bitmaps travel once for each block pair of a document; at one to two bits a shingle, sets that
+#: share three quarters or less are told apart, and the exact check does the rest.
+BITS_PER_SHINGLE = 1
 LEAST_BITS = 64
 FAN_OUT = 4
 LEAF = 32

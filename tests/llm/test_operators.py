@@ -10,9 +10,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.llm import (chat, exact_dedup, jaccard_join, line_dedup, lm_scoring, mixing, pii, quality,
                         queries, recurrent, sentencepieces, sharding)
+from tarmac.llm.common import CLEANUP, materialise
 from tarmac.llm.components import connected_components
 from tarmac.llm.queries import PIECE_MODEL
 from tarmac.llm.signature_tree import SignatureTree, signature
@@ -637,3 +639,21 @@ def test_flight_keeps_totals_and_means():
     small = np.arange(12, 0, -1)
     mean = np.mean([mixing.landing(mixing.flight(np.full(12, 0.3), small, rng), small, rng) for _ in range(1500)], 0)
     assert np.abs(mean - 0.3).max() < 0.06
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """Disk holds the shuffles of one step at a time; the session's own setting is put back."""
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    held = lambda: set(re.findall(r"shuffle_\d+", manager.getAllBlocks().mkString(" ")))
+    was, before = spark.conf.get(CLEANUP), held()
+    df = materialise(spark.range(20_000).groupBy(F.xxhash64("id")).count(), "test-shuffle")
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - before and spark.conf.get(CLEANUP) == was
+    assert df.count() == 20_000
+
+
+def test_signatures_are_short():
+    """They travel once for each block pair of a document: two bits a shingle at most."""
+    assert all(len(signature(np.arange(n, dtype=np.uint64))) <= max(8, n / 4) for n in (1, 70, 400, 5000))
