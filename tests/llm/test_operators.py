@@ -4,12 +4,14 @@ import hashlib
 import math
 import random
 import re
+import struct
 import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tarmac.llm import (chat, exact_dedup, jaccard_join, line_dedup, lm_scoring, mixing, pii, quality,
@@ -478,6 +480,32 @@ def test_fuzzy_lines_join_and_far_ones_do_not(spark):
     assert all(r.keep_doc % 100 == d % 100 for d, r in got.items())
 
 
+def test_fingerprints_are_made_inside_the_row(spark):
+    """63 bits as counted plainly, for lines of few and of many words, and without a shuffle."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n)))
+            for i, n in enumerate([1, 2, 3, 4, 8, 100, 254, 255, 256, 257, 300, 3000])]
+    told = line_dedup.fingerprints(line_dedup.lines_of(
+        spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    assert "Exchange" not in told._jdf.queryExecution().executedPlan().toString()
+    h = lambda value, seed=42: xxhash.xxh64_intdigest(value, seed=seed)
+    signed = lambda x: x - (x >> 63 << 64)
+    for r in told.collect():
+        words = [h(w.encode()) for w in set(rows[r.at.doc][1].split())]
+        low, high = (struct.pack("<q", f(map(signed, words))) for f in (min, max))
+        tie, votes = h(high, h(low)), [sum(x >> j & 1 for x in words) for j in range(63)]
+        assert r.sim == sum((2 * v > len(words) or (2 * v == len(words) and tie >> j & 1)) << j
+                            for j, v in enumerate(votes))
+
+
+def test_parts_of_the_block_keys_share_none(spark):
+    lines = line_dedup.fingerprints(line_dedup.lines_of(spark.createDataFrame(
+        [(i, f"line number {i % 50} of these, and {i} words") for i in range(200)], "doc_id long, text string"),
+        "doc_id", "text"))
+    parts = [p.select("key").distinct().collect() for p in line_dedup.block_keys(lines)]
+    assert len(parts) == 3 and all(parts) and len({r.key for p in parts for r in p}) == sum(map(len, parts))
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
