@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import free_name, materialise
+from tarmac.llm.common import bound_batches, free_name, materialise
 
 WINDOW = 8
 CHUNK_CHARS = 4_000_000
@@ -169,6 +169,7 @@ def with_measures(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFram
     schema = T.StructType([*kept, *extra])
     source = docs.select(*dict.fromkeys([*keep, text]))
     at = source.columns
+    bound_batches(docs.sparkSession)
     return source.mapInArrow(_measured(at.index(text), [at.index(c) for c in keep], schema),
                              schema), names
 

@@ -227,6 +227,18 @@ def test_sentence_pieces_equal_the_library(spark, docs, none):
     assert sentencepieces.encode_documents(none, PIECE_MODEL).count() == 0
 
 
+@pytest.mark.parametrize("work", [
+    lambda docs: sentencepieces.encode_and_decode(docs, PIECE_MODEL), lambda docs: quality.judge_documents(
+        docs, docs.sparkSession.createDataFrame([], "doc_id long, quality int"))])
+def test_batches_of_texts_are_bounded(spark, none, work):
+    """Whatever was set before: rows and bytes that a worker holds at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert work(none).count() == 0
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "2000"
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8m"
+
+
 def test_decoding_keeps_rows_apart(spark):
     texts = [(1, "one text"), (1, "one text"), (1, "another"), (None, "no identifier"), (None, "none\nat all é😀"),
              (2, ""), (2, None)]
