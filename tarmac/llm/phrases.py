@@ -10,18 +10,21 @@ A phrase is frequent at ``least`` occurrences.
 2.  *Full pass.* All documents are read once.  Counted exactly are the
     proposed phrases and their negative border: every phrase that was not
     proposed although its first and last words-but-one parts both were
-    (all single words are).
-3.  *Expansion.* A border phrase that turns out frequent is a failure: longer
-    phrases may contain it that no pass has counted.  Then another full pass
-    counts what the frequent phrases known so far admit and no earlier pass
-    counted; again until no failure is left.  Every frequent phrase has then
-    been counted, exactly.
+    (all single words are).  Most of the border is rare, so the pass adds up
+    counts by 64-bit hashes first; then the phrases whose hash is frequent are
+    read again, spelled and counted exactly.  A hash of two phrases costs a
+    counted phrase too many.
+3.  *Expansion.*  A border phrase that turns out frequent is a failure: longer
+    phrases may contain it that the full pass has not counted.  The second
+    reading counts these as well: every phrase with a failure in it whose other
+    parts are frequent.  A frequent phrase that the full pass left out has a
+    part that was not proposed, and the least such part was counted and is a
+    failure.  So every frequent phrase has then been counted, exactly.
 
 Tasks know the admitted phrases by a Bloom filter of fixed size, so what is
 broadcast does not grow with the corpus.  A false positive costs a counted
 phrase too many and changes nothing: the filter decides what is counted, the
-counts decide what is frequent, and the expansion passes leave out just what
-the full pass has counted under its filter, and what is known to be frequent.
+counts of the second reading decide what is frequent.
 
 Cutting a phrase after its first k words gives score floor(2000000 a / (l + r));
 the least over k counts (the smaller k among equals).  A candidate is dropped
@@ -39,6 +42,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,16 +66,23 @@ PLAIN = bytes.maketrans(ENDS + b"\t", b"\n" * len(ENDS) + b" ")
 COUNTED = "lang string, phrase string, words int, n long"
 
 
-def number_pieces(texts: list[str | None]) -> tuple[np.ndarray, list[bytes]]:
-    """Word numbers of all texts in a row, -1 between pieces, and the words by number."""
-    numbers: dict[bytes, int] = {b"": 0, b"\n": 1}
-    get, ids = numbers.setdefault, []
-    for t in texts:
-        raw = (t or "").encode("utf-8", "surrogatepass").lower().translate(PLAIN)
-        ids += [get(w, len(numbers)) for w in raw.replace(b"\n", b" \n ").split(b" ")]
-        ids.append(1)
-    flat = np.array(ids, np.int64)
-    return flat[flat > 0] - 2, list(numbers)[2:]
+def number_pieces(texts: list[str | None]) -> tuple[np.ndarray, pa.Array]:
+    """Word numbers of all texts in a row, -1 between pieces, and the words (strings) by number."""
+    raw = b"".join([(t or "").encode("utf-8", "surrogatepass").lower().translate(PLAIN) + b"\n" for t in texts])
+    chars = np.frombuffer(raw, np.uint8)
+    end = chars == 10
+    inside = ~end & (chars != 32)
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    spoken = chars[inside]
+    starts = np.cumsum(inside, dtype=np.int64)[begins] - 1
+    offsets = np.append(starts, len(spoken)).astype(np.int64)
+    said = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(spoken)])
+    coded = said.dictionary_encode()
+    ids = np.full(len(chars), -2, np.int64)
+    ids[end] = -1
+    ids[begins] = coded.indices.to_numpy()
+    return ids[begins | end], coded.dictionary
 
 
 class Filter:
@@ -88,8 +99,17 @@ class Filter:
         return (hashes[:, None] + nth * step[:, None]) & np.uint64(FILTER_BITS - 1)
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
-        at = self.places(hashes)
-        return ((self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(1)
+        mask, seven = np.uint64(FILTER_BITS - 1), np.uint64(7)
+        set_ = lambda at: self.bits[at >> np.uint64(3)] >> (at & seven).astype(np.uint8) & np.uint8(1) > 0
+        out = set_(hashes & mask)
+        left = np.flatnonzero(out)  # most fall at the first bit
+        h = hashes[left]
+        step = mix(h ^ np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+        held = np.ones(len(left), bool)
+        for nth in range(1, FILTER_HASHES):
+            held &= set_(h + np.uint64(nth) * step & mask)
+        out[left] = held
+        return out
 
 
 def phrase_hashes(words: list[np.ndarray], lang: str) -> np.ndarray:
@@ -100,25 +120,37 @@ def phrase_hashes(words: list[np.ndarray], lang: str) -> np.ndarray:
     return h
 
 
-def count_phrases(texts: list[str | None], lang: str, sizes: range, admitted: Filter | None,
-                  earlier: Filter | None, everything: bool, fresh: Filter | None = None) -> Iterator[tuple[list[str], int, np.ndarray]]:
-    """Phrases of some texts of one language, their number of words, and their counts.
+def spell_phrases(words: pa.Array, spell: np.ndarray) -> pa.Array:
+    """Phrases as strings, from their words' numbers, a row each."""
+    if not spell.shape[1]:
+        return pa.array([""] * len(spell), pa.string())
+    said = [words.take(pa.array(column)) for column in spell.T]
+    return (said[0] if len(said) == 1 else pc.binary_join_element_wise(*said, pa.scalar(b" ", words.type))).cast(
+        pa.large_string()).cast(pa.string())
+
+
+def numbered_phrases(texts: list[str | None], lang: str, sizes: range, admitted: Filter | None, earlier: Filter | None,
+                     everything: bool, fresh: Filter | None = None) -> Iterator[tuple]:
+    """Phrases of some texts of one language: the words, a phrase's words by number, their hashes, and the counts.
 
     A phrase of one word is always admitted, a longer one if ``admitted`` holds
     the parts without its last and its first word (``everything``: always).
     Left out is what a pass with ``earlier`` as its filter has counted.  Phrases
     are told apart exactly.
-    With ``fresh``, only the words are read that lie near a phrase it holds.
+    With ``fresh``, a phrase is admitted if ``admitted`` holds it or a shorter
+    part is one of ``fresh``, and its parts are admitted; the phrase of no words
+    then comes first, counted once for each word.
     """
     ids, words = number_pieces(texts)
     if not len(words):
         return
-    hashes = mix(hash_words(words))
-    if fresh is not None:
-        ids = np.where(near_phrases(ids, hashes, lang, sizes[-1], fresh), ids, -1)
+    hashes = mix(hash_words(words.to_pylist()))
     place = np.flatnonzero(ids >= 0)            # where phrases of the current size begin
+    if fresh is not None:
+        yield words, np.zeros((1, 0), np.int64), [], np.array([len(place)])
     code = ids[place]                           # their numbers; each number is one phrase
     spell = np.arange(len(words))[:, None]      # the words of each number
+    near = np.zeros(len(words), bool)           # whether one of ``fresh`` is in it
     for size in range(1, sizes[-1] + 1):
         if size > 1:
             # phrases of size - 1 that begin at neighbouring words make one of this size
@@ -130,45 +162,41 @@ def count_phrases(texts: list[str | None], lang: str, sizes: range, admitted: Fi
                 return
             left, right = code[keep], code[follows[keep]]
             place = place[keep]
-            pairs, code = np.unique(left * len(spell) + right, return_inverse=True)
-            spell = np.concatenate([spell[pairs // len(spell)], spell[pairs % len(spell)][:, -1:]], 1)
+            coded = pa.array(left * len(spell) + right).dictionary_encode()
+            pairs, code = coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
+            first, last = pairs // len(spell), pairs % len(spell)
+            spell = np.concatenate([spell[first], spell[last][:, -1:]], 1)
+            near = near[first] | near[last]
         counts = np.bincount(code, minlength=len(spell))
         parts = [hashes[spell[:, k]] for k in range(size)]
+        held = None
+        if fresh is not None:
+            own = phrase_hashes(parts, lang)
+            held = near | admitted.holds(own)
+            near[held] |= fresh.holds(own[held])
+        elif admitted is not None and size < sizes[-1]:
+            held = admitted.holds(phrase_hashes(parts, lang))
         if size in sizes:
-            out = np.ones(len(spell), bool)
-            if size > 1 and not everything:
+            out = np.ones(len(spell), bool) if fresh is None else held.copy()
+            if size > 1 and not everything and fresh is None:
                 out = _admits(admitted, parts, lang)
             if earlier is not None and size > 1 and out.any():
                 out[out] = ~_counts(earlier, [p[out] for p in parts], lang)
             told = np.flatnonzero(out)
             if len(told):
-                rows = [[words[i] for i in column] for column in spell[told].T]
-                yield [b" ".join(x).decode("utf-8", "surrogatepass") for x in zip(*rows)], size, counts[told]
+                yield words, spell[told], [p[told] for p in parts], counts[told]
         # only phrases that the filter holds can be part of a longer one that is admitted
-        if admitted is not None and size < sizes[-1]:
-            held = admitted.holds(phrase_hashes(parts, lang))
+        if held is not None and size < sizes[-1]:
             on = held[code]
             place, code = place[on], code[on]
             renumber = np.cumsum(held) - 1
-            code, spell = renumber[code], spell[held]
+            code, spell, near = renumber[code], spell[held], near[held]
 
 
-def near_phrases(ids: np.ndarray, hashes: np.ndarray, lang: str, longest: int, fresh: Filter) -> np.ndarray:
-    """Which words a phrase of up to ``longest`` words can reach that has a shorter one of ``fresh`` in it."""
-    n = len(ids)
-    reach = np.zeros(n + 1, np.int64)
-    spoken = hashes[np.maximum(ids, 0)]
-    inside = ids >= 0
-    h = phrase_hashes([spoken], lang)
-    for size in range(1, longest):
-        if size > 1:
-            inside = inside[:-1] & (ids[size - 1:] >= 0)
-            h = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + spoken[size - 1:])
-        at = np.flatnonzero(inside)
-        at = at[fresh.holds(h[at])]
-        np.add.at(reach, np.maximum(at - (longest - size), 0), 1)
-        np.add.at(reach, np.minimum(at + longest, n), -1)
-    return np.cumsum(reach)[:n] > 0
+def count_phrases(texts: list[str | None], lang: str, *how, **more) -> Iterator[tuple[list[str], int, np.ndarray]]:
+    """Phrases as in ``numbered_phrases``, spelled, their number of words, and their counts."""
+    for words, spell, _, counts in numbered_phrases(texts, lang, *how, **more):
+        yield spell_phrases(words, spell).to_pylist(), spell.shape[1], counts
 
 
 def _admits(f: Filter, parts: list[np.ndarray], lang: str) -> np.ndarray:
@@ -192,27 +220,43 @@ def _counts(f: Filter, parts: list[np.ndarray], lang: str) -> np.ndarray:
     return out
 
 
+def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    """Languages and their texts, a chunk after another."""
+    for batch in batches:
+        for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
+            of: dict[str, list] = {}
+            for lang, text in zip(batch.column(0).slice(lo, hi - lo).to_pylist(),
+                                  batch.column(1).slice(lo, hi - lo).to_pylist()):
+                of.setdefault(lang, []).append(text)
+            yield from of.items()
+
+
 def _counted(sizes: range, admitted, earlier, everything: bool, fresh) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = Filter(admitted.value) if admitted is not None else None
         before = Filter(earlier.value) if earlier is not None else None
-        only = Filter(fresh.value) if fresh is not None else None
-        for batch in batches:
-            for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
-                langs = batch.column(0).slice(lo, hi - lo).to_pylist()
-                texts = batch.column(1).slice(lo, hi - lo).to_pylist()
-                of: dict[str, list] = {}
-                for lang, text in zip(langs, texts):
-                    of.setdefault(lang, []).append(text)
-                for lang, own in of.items():
-                    for phrases, size, n in count_phrases(own, lang, sizes, now, before, everything, only):
-                        for k in range(0, len(phrases), 100_000):
-                            part = phrases[k:k + 100_000]
-                            yield pa.RecordBatch.from_arrays([
-                                pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()),
-                                pa.array(np.full(len(part), size, np.int32)),
-                                pa.array(n[k:k + 100_000].astype(np.int64))],
-                                names=["lang", "phrase", "words", "n"])
+        near = Filter(fresh.value) if fresh is not None else None
+        for lang, own in _by_chunk(batches):
+            for words, spell, _, n in numbered_phrases(own, lang, sizes, now, before, everything, near):
+                for k in range(0, len(spell), 100_000):
+                    part = spell_phrases(words, spell[k:k + 100_000])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([lang] * len(part), pa.string()), part,
+                        pa.array(np.full(len(part), spell.shape[1], np.int32)),
+                        pa.array(n[k:k + 100_000].astype(np.int64))],
+                        names=["lang", "phrase", "words", "n"])
+    return run
+
+
+def _hashed(sizes: range, admitted) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = Filter(admitted.value)
+        for lang, own in _by_chunk(batches):
+            for _, _, parts, n in numbered_phrases(own, lang, sizes, now, None, False):
+                hashes = phrase_hashes(parts, lang).view(np.int64)
+                for k in range(0, len(hashes), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[k:k + 100_000]),
+                                                      pa.array(n[k:k + 100_000].astype(np.int64))], names=["hash", "n"])
     return run
 
 
@@ -222,14 +266,18 @@ def _count(texts: DataFrame, sizes: range, admitted=None, earlier=None,
     return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
 
 
-def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, rows in _by_lang(batch):
             for size in {len(r) for r in rows}:
                 same = [r for r in rows if len(r) == size]
                 parts = [mix(hash_words([r[k] for r in same])) for k in range(size)]
-                bits = Filter.places(phrase_hashes(parts, lang)).ravel().astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(bits))], names=["bit"])
+                yield pa.RecordBatch.from_arrays([pa.array(phrase_hashes(parts, lang).view(np.int64))], names=["hash"])
+
+
+def hashes_of(phrases: DataFrame) -> DataFrame:
+    """``hash`` of each ``lang`` and ``phrase``, as in ``_hashed``."""
+    return phrases.select("lang", "phrase").mapInArrow(_hashes_of, "hash long")
 
 
 def _by_lang(batch: pa.RecordBatch) -> list[tuple[str, list[list[bytes]]]]:
@@ -239,9 +287,15 @@ def _by_lang(batch: pa.RecordBatch) -> list[tuple[str, list[list[bytes]]]]:
     return list(of.items())
 
 
-def make_filter(spark: SparkSession, phrases: DataFrame):
-    """A broadcast Bloom filter of ``lang`` and ``phrase``: FILTER_BITS bits, whatever the phrases' number."""
-    bits = phrases.select("lang", "phrase").mapInArrow(_filter_bits, "bit long")
+def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bits = Filter.places(batch.column(0).to_numpy().view(np.uint64)).ravel().astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(bits))], names=["bit"])
+
+
+def make_filter(spark: SparkSession, hashes: DataFrame):
+    """A broadcast Bloom filter of phrases given by ``hash``: FILTER_BITS bits, whatever the phrases' number."""
+    bits = hashes.select("hash").mapInArrow(_filter_bits, "bit long")
     maps = bits.groupBy((F.col("bit") / BITMAP).cast("long").alias("at")).agg(
         F.expr(f"bitmap_construct_agg(bit % {BITMAP})").alias("map"))
     out = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -257,6 +311,20 @@ def lowered(least: int, share: float) -> int:
     return max(2, int(expected - 1.65 * expected ** 0.5)) if share < 1 else least
 
 
+def count_frequent(spark: SparkSession, texts: DataFrame, proposed: DataFrame, least: int,
+                   longest: int) -> tuple[DataFrame, DataFrame]:
+    """All phrases of ``least`` occurrences or more, and all words' number by lang, in two readings of the texts."""
+    known = materialise(hashes_of(proposed), "phrases-known")
+    sums = texts.mapInArrow(_hashed(range(1, longest + 1), make_filter(spark, known)), "hash long, n long")
+    often = materialise(sums.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("hash"),
+                        "phrases-hashes")
+    # frequent and not proposed: failures of the border
+    failures = make_filter(spark, often.join(known, "hash", "left_anti"))
+    exact = _count(texts, range(1, longest + 1), make_filter(spark, often), fresh=failures)
+    counted = materialise(exact.filter((F.col("n") >= least) | (F.col("words") == 0)), "phrases-frequent")
+    return counted.filter("words > 0"), counted.filter("words = 0").select("lang", "n")
+
+
 def propose(spark: SparkSession, texts: DataFrame, least: int, share: float, longest: int) -> DataFrame:
     """``lang`` and ``phrase``: what a share of the documents shows to be frequent, perhaps."""
     sample = texts.filter(F.col("row_hash") % 1_000_000 < int(share * 1_000_000)).select("lang", "text")
@@ -264,7 +332,7 @@ def propose(spark: SparkSession, texts: DataFrame, least: int, share: float, lon
     short = materialise(_count(sample, range(1, min(2, longest) + 1), everything=True).filter(at), "phrases-short")
     if longest < 3:
         return short.select("lang", "phrase")
-    within = make_filter(spark, short)
+    within = make_filter(spark, hashes_of(short))
     long = _count(sample, range(3, longest + 1), within, everything=True).filter(at)
     return materialise(short.unionByName(long).select("lang", "phrase"), "phrases-proposed")
 
@@ -281,21 +349,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", stratum: str = "lang",
                         F.pmod(F.xxhash64(*hashable), F.lit(1_000_000_007)).alias("row_hash"))
     proposed = propose(spark, texts, least, share, longest)
     texts = texts.select("lang", "text")
-    admitted = make_filter(spark, proposed)
-    counted = materialise(_count(texts, range(1, longest + 1), admitted), "phrases-counted")
-    totals = materialise(counted.filter("words = 1").groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
-    found = materialise(counted.filter(F.col("n") >= least), "phrases-frequent")
-    # failures of the border: frequent, not proposed, and with room for a longer phrase around them
-    failures = found.filter(F.col("words") < longest).join(proposed, ["lang", "phrase"], "left_anti")
-    while not failures.isEmpty():
-        now, fresh = make_filter(spark, found), make_filter(spark, failures)
-        # a phrase not counted yet has a failure in it
-        more = _count(texts, range(2, longest + 1), now, admitted, fresh=fresh).filter(F.col("n") >= least)
-        more = materialise(more.join(found.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-                           .select(*found.columns), "phrases-expansion")
-        found = materialise(found.unionByName(more), "phrases-frequent")
-        failures = more.filter(F.col("words") < longest)
-    return found, totals
+    return count_frequent(spark, texts, proposed, least, longest)
 
 
 def collocations(docs: DataFrame, text: str = "text", stratum: str = "lang", least: int = LEAST,
